@@ -124,10 +124,8 @@ def with_lineage(rows: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("source_object_path"),
         F.col("_metadata.file_name").alias("source_file_name"),
     )
-    stem = F.regexp_extract("source_file_name", LAST_NAME, 1)
-    typed = located.withColumns(
-        {**typed_batch_columns(), "batch_id": F.coalesce(F.nullif(F.trim("batch_id"), F.lit("")), stem)}
-    )
+    batch = F.coalesce(F.nullif(F.trim("batch_id"), F.lit("")), _batch_of(F.col("source_object_path")))
+    typed = located.withColumns({**typed_batch_columns(), "batch_id": batch})
     dated = typed.withColumns(_load_time(F.col("batch_sequence"), F.col("batch_effective_at")))
     return dated.withColumns({"ingested_at": F.current_timestamp(), "row_ingestion_id": row_ingestion_id()})
 
@@ -147,16 +145,16 @@ def batch_file_summary(rows: DataFrame) -> DataFrame:
     """
     position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     placed = rows.select(
-        F.col("_metadata.file_name").alias("source_file_name"), position.alias("position"), *BATCH_COLUMNS
+        F.col("_metadata.file_path").alias("source_object_path"), position.alias("position"), *BATCH_COLUMNS
     )
     first = F.min_by(F.struct("batch_id", "batch_sequence", "batch_effective_at"), "position")
-    summary = placed.groupBy("source_file_name").agg(F.count(F.lit(1)).alias("row_count"), first.alias("first"))
+    summary = placed.groupBy("source_object_path").agg(F.count(F.lit(1)).alias("row_count"), first.alias("first"))
     effective = parse_effective_at(F.col("first.batch_effective_at"))
     sequence = F.trim("first.batch_sequence").try_cast("int")
-    stem = F.regexp_extract("source_file_name", LAST_NAME, 1)
+    located = _batch_of(F.col("source_object_path"))
     return summary.select(
-        "source_file_name",
-        F.coalesce(F.nullif(F.trim("first.batch_id"), F.lit("")), stem).alias("batch_id"),
+        "source_object_path",
+        F.coalesce(F.nullif(F.trim("first.batch_id"), F.lit("")), located).alias("batch_id"),
         sequence.alias("batch_sequence"),
         effective.alias("batch_effective_at"),
         *[value.alias(name) for name, value in _load_time(sequence, effective).items()],
