@@ -25,9 +25,14 @@ MONTH_NAMES = [
 TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd"]
 
 
+def null_if_absent(trimmed: Column) -> Column:
+    """Empty text and the exact word NULL become NULL."""
+    return F.when(~trimmed.isin("", NULL_LITERAL), trimmed)
+
+
 def clean_text(value: Column) -> Column:
-    """Trim spaces; empty text and the exact word NULL become NULL."""
-    return F.nullif(F.nullif(F.trim(value), F.lit("")), F.lit(NULL_LITERAL))
+    """Trim spaces, then drop null-like text."""
+    return null_if_absent(F.trim(value))
 
 
 def strip(value: Column) -> Column:

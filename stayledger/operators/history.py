@@ -70,13 +70,19 @@ def latest_per_key(deduped: DataFrame) -> DataFrame:
 
 
 def clean_and_type(latest: DataFrame) -> DataFrame:
-    """Null-like text to NULL, numbers and dates parsed, dimensions defaulted."""
-    values = {c: cleaning.clean_text(F.col(c)) for c in SOURCE_COLUMNS}
+    """Null-like text to NULL, numbers and dates parsed, dimensions defaulted.
+
+    Trimming is a projection of its own, as later ones use each trimmed text
+    more than once. It also keeps every generated method small enough for the
+    JVM to compile.
+    """
+    trimmed = latest.withColumns({c: F.trim(c) for c in SOURCE_COLUMNS})
+    values = {c: cleaning.null_if_absent(F.col(c)) for c in SOURCE_COLUMNS}
     values |= {c: values[c].try_cast("int") for c in INT_COLUMNS}
     values |= {c: F.coalesce(values[c], F.lit(UNKNOWN)) for c in DEFAULTED_DIMENSIONS}
     values["adr"] = values["adr"].try_cast(PRICE_TYPE)
     values["reservation_status_date"] = values["reservation_status_date"].try_cast("date")
-    typed = latest.withColumnsRenamed(
+    typed = trimmed.withColumnsRenamed(
         {"batch_id": "current_batch_id", "batch_sequence": "current_batch_sequence"}
     ).withColumns(values)
     numbered = typed.withColumn("arrival_month_number", cleaning.month_number(F.col("arrival_date_month")))

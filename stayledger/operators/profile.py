@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.functions.cleaning import is_missing, strip
+from stayledger.functions.cleaning import MISSING_SPELLINGS, is_missing, strip
 from stayledger.operators.ordering import quantiles, value_counts
 
 # What counts as a number or a date, and the outlier rule.
@@ -25,12 +25,18 @@ NUMBER_TYPE = "decimal(18,4)"
 PRICE_TYPE = "decimal(28,6)"
 
 
-def _kind(value: Column) -> Column:
-    """Narrowest type of one value: 0 integer, 1 decimal, 2 date, 3 string."""
-    text = strip(value)
+def _kind(text: Column) -> Column:
+    """Narrowest type of a stripped text: 0 integer, 1 decimal, 2 date, 3 string.
+
+    Patterns decide, not casts: a failing cast costs far more than a pattern
+    that does not match. Texts that start like no number need neither.
+    """
+    lead = F.ascii(text)
+    numeric_start = lead.between(ord("+"), ord("9")) | lead.isin(ord("i"), ord("I"))
     is_date = text.rlike(DATE) & text.try_cast("date").isNotNull()
     return (
-        F.when(text.rlike(INTEGER), 0)
+        F.when(~numeric_start, 3)
+        .when(text.rlike(INTEGER), 0)
         .when(F.lower(text).rlike(DECIMAL), 1)
         .when(is_date, 2)
         .otherwise(3)
@@ -50,27 +56,23 @@ def _type_name(narrowest: Column, widest: Column) -> Column:
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column: rows, missing values and inferred type. One pass over the data."""
+    """Per column: rows, missing values and inferred type. One pass over the data.
+
+    Values are turned into (column, text) pairs and aggregated by column. Map
+    tasks send one partial row per column, and the plan stays as small as for a
+    single column however wide the table is.
+    """
     columns = columns or df.columns
-    parts = [F.count(F.lit(1)).alias("rows")]
-    for c in columns:
-        value = F.col(c).cast("string")
-        present = F.when(~is_missing(value), _kind(value))
-        parts += [
-            F.count_if(is_missing(value)).alias(f"{c}:missing"),
-            F.min(present).alias(f"{c}:narrowest"),
-            F.max(present).alias(f"{c}:widest"),
-        ]
-    lines = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("rows").alias("row_count"),
-            F.col(f"`{c}:missing`").alias("missing_count"),
-            _type_name(F.col(f"`{c}:narrowest`"), F.col(f"`{c}:widest`")).alias("inferred_type"),
-        )
-        for c in columns
-    ]
-    return df.agg(*parts).select(F.inline(F.array(*lines)))
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    pairs = texts.unpivot([], columns, "column_name", "value").withColumn("text", strip(F.col("value")))
+    missing = F.coalesce(F.lower("text").isin(MISSING_SPELLINGS), F.lit(True))
+    kinds = pairs.select("column_name", F.when(~missing, _kind(F.col("text"))).alias("kind"))
+    profiled = kinds.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(F.col("kind").isNull()).alias("missing_count"),
+        _type_name(F.min("kind"), F.max("kind")).alias("inferred_type"),
+    )
+    return profiled
 
 
 def _number(column: str, kind: str = NUMBER_TYPE) -> Column:

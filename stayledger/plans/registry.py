@@ -228,7 +228,9 @@ def counts_per_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def change_batches(spark: SparkSession, folder: str) -> DataFrame:
-    source = with_keys(star_bookings(spark, folder), DATASET, SOURCE_ORDER)
+    # Numbering reads its input twice, to sample the order and to sort: join once, before.
+    bookings = materialize(star_bookings(spark, folder), "bookings")
+    source = with_keys(bookings, DATASET, SOURCE_ORDER)
     return compose_batches(source, DATASET)
 
 

@@ -8,7 +8,8 @@ from stayledger.operators.history import current_state, dedupe_exact, stage
 from stayledger.operators.marts import DIMENSIONS, MARTS, build_dimension, build_mart
 from stayledger.operators.metrics import booking_metrics, fact_bookings
 from stayledger.operators.saved import SAVED, refresh
-from stayledger.session import materialize
+from stayledger.schema import SOURCE_COLUMNS
+from stayledger.session import materialize_all
 
 
 def current_bookings(history: DataFrame) -> DataFrame:
@@ -48,23 +49,31 @@ def plan_warehouse(history: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_warehouse(history: DataFrame) -> dict[str, DataFrame]:
-    """The same relations with the expensive step done once.
-
-    Current bookings are written to the working folder: both windows and the
-    hash over all source columns run a single time, and every relation after
-    that reads only its own columns of the written table. The saved aggregates
-    are refreshed from it.
+    """The same relations with every shared step done once and stored.
+
+    Written to the working folder are: the staged rows without their 32 source
+    texts (technical columns and hash are all that checks of the history read),
+    the current bookings (one run of both windows), and the dimensions and
+    marts, which hold one row per member or group, so that charts and checks do
+    not scan bookings again. The fact is a column selection of the current
+    bookings. The saved aggregates are refreshed from it.
     """
     staged = stage(history)
-    deduped = dedupe_exact(staged)
-    current = materialize(current_state(deduped), "current_bookings")
-    metrics = booking_metrics(current)
-    relations = {
-        "staged_history": staged,
-        "deduped_history": deduped,
-        "current_bookings": current,
+    base = materialize_all(
+        {
+            "staged_history": staged.drop(*SOURCE_COLUMNS),
+            "current_bookings": current_state(dedupe_exact(staged)),
+        }
+    )
+    metrics = booking_metrics(base["current_bookings"])
+    serving = serving_relations(metrics)
+    fact = serving.pop("fact_bookings")
+    return {
+        "staged_history": base["staged_history"],
+        "deduped_history": dedupe_exact(base["staged_history"]),
+        "current_bookings": base["current_bookings"],
         "booking_metrics": metrics,
-        **serving_relations(metrics),
+        "fact_bookings": fact,
+        **materialize_all(serving),
+        **{name: refresh(fact, name) for name in SAVED},
     }
-    relations |= {name: refresh(relations["fact_bookings"], name) for name in SAVED}
-    return relations

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: The JVM does not compile methods beyond 8000 bytes. Wide projections are over
+#: it when generated as one method; with this limit Spark splits them instead.
+COMPILED_METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 #: A side is broadcast only when rows x bytes stay under this.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
@@ -29,6 +34,7 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 10
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "zstd",
+        **COMPILED_METHOD_LIMIT,
     }
 
 
@@ -43,7 +49,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="stayledger-"))
     )
-    for key, value in conf.items():
+    for key, value in {**COMPILED_METHOD_LIMIT, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -80,6 +86,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_all(frames: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """Write independent results as tables, several jobs at a time so that the
+    last tasks of one do not leave the cluster idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        written = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
+        return {name: table.result() for name, table in written.items()}
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 256) -> DataFrame:
     """Mark ``df`` for broadcast when its counted size is under the limit;
     beyond it Spark chooses a shuffled join."""
