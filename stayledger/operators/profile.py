@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions.cleaning import MISSING_SPELLINGS, is_missing, strip
+from stayledger.functions.measures import safe_ratio
 from stayledger.operators.ordering import quantiles, value_counts
 
 # What counts as a number or a date, and the outlier rule.
@@ -86,24 +87,21 @@ def price_spread(df: DataFrame, column: str = "adr") -> DataFrame:
     The data is read once, into value frequencies; the rest works on those.
     """
     counts = value_counts(df.select(_number(column, PRICE_TYPE).alias("price")), "price")
-    quartiles = quantiles(counts, "price", {"q1": 0.25, "q3": 0.75})
-    spread = (F.col("q3") - F.col("q1")) * OUTLIER_FACTOR
-    bounds = quartiles.select(
-        "q1", "q3", (F.col("q1") - spread).alias("lower_bound"), (F.col("q3") + spread).alias("upper_bound")
-    )
+    quartiles = quantiles(counts, "price", {"q1": 0.25, "q3": 0.75}).first()
+    q1, q3 = [F.lit(q).cast("double") for q in quartiles]
+    spread = (q3 - q1) * OUTLIER_FACTOR
+    lower, upper = q1 - spread, q3 + spread
     price, n = F.col("price"), F.col("_n")
-    weighed = F.sum(price * n).cast("double") / F.sum(n).cast("double")
-    outside = (price.cast("double") < F.col("lower_bound")) | (price.cast("double") > F.col("upper_bound"))
-    # Joining the single row of bounds; it is one row by construction.
-    return (
-        counts.join(F.broadcast(bounds), F.lit(True), "left")
-        .groupBy("q1", "q3", "lower_bound", "upper_bound")
-        .agg(
-            F.min(price).cast("double").alias("min_price"),
-            F.max(price).cast("double").alias("max_price"),
-            weighed.alias("mean_price"),
-            F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("outlier_count"),
-        )
+    outside = (price.cast("double") < lower) | (price.cast("double") > upper)
+    return counts.agg(
+        q1.alias("q1"),
+        q3.alias("q3"),
+        lower.alias("lower_bound"),
+        upper.alias("upper_bound"),
+        F.min(price).cast("double").alias("min_price"),
+        F.max(price).cast("double").alias("max_price"),
+        safe_ratio(F.sum(price * n), F.sum(n)).alias("mean_price"),
+        F.coalesce(F.sum(F.when(outside, n)), F.lit(0)).alias("outlier_count"),
     )
 
 

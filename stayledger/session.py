@@ -19,18 +19,21 @@ COMPILED_METHOD_LIMIT = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+def cluster_conf(input_bytes: int, partition_bytes: int = 1 << 30) -> dict[str, str]:
     """Settings for a run over ``input_bytes`` of history.
 
-    The shuffle is cut so that one partition fits an executor core; AQE merges
-    what turns out small and splits what turns out skewed.
+    A shuffle has as many blocks as map tasks times partitions, so both sides
+    are kept coarse: partitions of about 1 GB, which sorts and windows spill
+    when they must, over scan tasks of 512 MB. AQE merges what turns out small
+    and splits skewed joins.
     """
-    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    partitions = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "zstd",
@@ -57,15 +60,16 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    without the setting gets a folder of this machine.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
     if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="stayledger-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stayledger-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
