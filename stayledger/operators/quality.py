@@ -7,7 +7,6 @@ suite is one DataFrame with a line per check.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,7 +144,7 @@ def row_totals(staged: DataFrame, current: DataFrame) -> DataFrame:
         df.agg(*[F.count(F.lit(1) if side == name else F.lit(None)).alias(name) for name in sides])
         for side, df in sides.items()
     ]
-    both = reduce(DataFrame.unionByName, counted)
+    both = _union_all(counted)
     return both.agg(*[F.sum(name).alias(name) for name in sides])
 
 
@@ -169,37 +168,61 @@ def expected_current_batch(current: DataFrame, booking_key: str, batch_id: str)
 # --- warnings ----------------------------------------------------------------
 
 
-def adr_outliers(metrics: DataFrame) -> DataFrame:
+def price_out_of_range() -> Column:
     low, high = PRICE_WARN_RANGE
-    price = F.col("source_adr")
-    return metrics.where((price < low) | (price > high)).select("booking_key", "current_batch_id", "source_adr")
+    return (F.col("source_adr") < low) | (F.col("source_adr") > high)
 
 
-def invalid_arrival_dates(current: DataFrame) -> DataFrame:
+def arrival_date_is_invalid() -> Column:
     """No date, no year, or a month or day out of range. NULL parts are caught by the date."""
-    bad = (
+    return (
         F.col("arrival_date").isNull()
         | F.col("arrival_date_year").isNull()
         | ~F.col("arrival_month_number").between(1, 12)
         | ~F.col("arrival_date_day_of_month").between(1, 31)
     )
-    parts = ["arrival_date_year", "arrival_month_number", "arrival_date_day_of_month", "arrival_date"]
-    return current.where(bad).select("booking_key", "current_batch_id", *parts)
 
 
-def missing_dimensions(metrics: DataFrame) -> DataFrame:
+def core_dimension_is_missing() -> Column:
     bad = F.col("hotel").isNull()
     for c in CORE_DIMENSIONS:
         bad = bad | F.col(c).isNull() | (F.col(c) == UNKNOWN)
-    return metrics.where(bad).select("booking_key", "current_batch_id", "hotel", *CORE_DIMENSIONS)
+    return bad
+
+
+#: Warning -> relation it belongs to and condition, all over columns of the metrics relation.
+WARNINGS = {
+    "adr_outliers": ("booking_metrics", price_out_of_range),
+    "invalid_arrival_dates": ("current_bookings", arrival_date_is_invalid),
+    "missing_dimensions": ("booking_metrics", core_dimension_is_missing),
+    "zero_guests": ("booking_metrics", lambda: F.col("total_guests") == 0),
+    "zero_nights": ("booking_metrics", lambda: F.col("total_nights") == 0),
+}
+
+
+def _warned(df: DataFrame, warning: str, columns: list[str]) -> DataFrame:
+    return df.where(WARNINGS[warning][1]()).select("booking_key", "current_batch_id", *columns)
+
+
+def adr_outliers(metrics: DataFrame) -> DataFrame:
+    return _warned(metrics, "adr_outliers", ["source_adr"])
+
+
+def invalid_arrival_dates(current: DataFrame) -> DataFrame:
+    parts = ["arrival_date_year", "arrival_month_number", "arrival_date_day_of_month", "arrival_date"]
+    return _warned(current, "invalid_arrival_dates", parts)
+
+
+def missing_dimensions(metrics: DataFrame) -> DataFrame:
+    return _warned(metrics, "missing_dimensions", ["hotel", *CORE_DIMENSIONS])
 
 
 def zero_guests(metrics: DataFrame) -> DataFrame:
-    return metrics.where(F.col("total_guests") == 0).select("booking_key", "current_batch_id", "total_guests")
+    return _warned(metrics, "zero_guests", ["total_guests"])
 
 
 def zero_nights(metrics: DataFrame) -> DataFrame:
-    return metrics.where(F.col("total_nights") == 0).select("booking_key", "current_batch_id", "total_nights")
+    return _warned(metrics, "zero_nights", ["total_nights"])
 
 
 # --- the suite ---------------------------------------------------------------
@@ -215,63 +238,65 @@ def _line(check: str, relation: str, column: str, severity: str, failures: Colum
     )
 
 
-def _counted(df: DataFrame, lines: dict[tuple[str, str], Column], relation: str, severity: str) -> DataFrame:
-    """Failure counts of several checks in one aggregate, as one line per check."""
-    names = {key: f"f{i}" for i, key in enumerate(lines)}
-    counts = df.agg(*[value.alias(names[key]) for key, value in lines.items()])
-    structs = [_line(check, relation, column, severity, F.col(names[check, column])) for check, column in lines]
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union as a balanced tree, which keeps the plan shallow and quick to analyse."""
+    while len(parts) > 1:
+        pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
+        parts = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return parts[0]
+
+
+def _counted(df: DataFrame, lines: list[tuple[str, str, str, str, Column]]) -> DataFrame:
+    """Failure counts of several checks in one aggregate, as one line per check.
+
+    A line is ``(check, relation, column, severity, aggregate)``.
+    """
+    counts = df.agg(*[line[4].alias(f"f{i}") for i, line in enumerate(lines)])
+    structs = [_line(*line[:4], F.col(f"f{i}")) for i, line in enumerate(lines)]
     return counts.select(F.inline(F.array(*structs)))
 
 
+def _row_count() -> Column:
+    return F.count(F.lit(1))
+
+
 def check_relation(df: DataFrame, relation: str, checks: Checks, severity: str = ERROR) -> DataFrame:
-    """All declared checks of a relation."""
-    lines = {("not_null", c): F.count_if(F.col(c).isNull()) for c in checks.not_null}
-    lines |= {("non_negative", c): F.count_if(F.col(c) < 0) for c in checks.non_negative}
-    lines |= {
+    """All declared checks of a relation, those on rows in one pass."""
+    counts = {("not_null", c): F.count_if(F.col(c).isNull()) for c in checks.not_null}
+    counts |= {("non_negative", c): F.count_if(F.col(c) < 0) for c in checks.non_negative}
+    counts |= {
         ("accepted_values", c): F.count_if(~F.col(c).isin(values)) for c, values in checks.accepted.items()
     }
     if checks.not_empty:
-        lines["not_empty", ""] = F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)
-    parts = [_counted(df, lines, relation, severity)]
+        counts["not_empty", ""] = F.when(_row_count() == 0, 1).otherwise(0)
+    lines = [(check, relation, column, severity, count) for (check, column), count in counts.items()]
+    parts = [_counted(df, lines)] if lines else []
     for c in checks.unique:
-        parts.append(_counted(unique(df, c), {("unique", c): F.count(F.lit(1))}, relation, severity))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _failures(failing: DataFrame, check: str, relation: str, severity: str) -> DataFrame:
-    return _counted(failing, {(check, ""): F.count(F.lit(1))}, relation, severity)
+        parts.append(_counted(unique(df, c), [("unique", relation, c, severity, _row_count())]))
+    return _union_all(parts)
 
 
 def sql_checks(relations: dict[str, DataFrame], expected_current: dict[str, str]) -> DataFrame:
     """Invariants, reconciliations, expected current batches and warnings."""
     staged, current = relations["staged_history"], relations["current_bookings"]
-    metrics = relations["booking_metrics"]
-    parts = [
-        _failures(current_vs_distinct(staged, current), "current_vs_distinct", "current_bookings", ERROR),
-        _failures(multi_state_batches(staged), "multi_state_batches", "staged_history", ERROR),
-    ]
+    failing = {
+        ("current_vs_distinct", "current_bookings", ""): current_vs_distinct(staged, current),
+        ("multi_state_batches", "staged_history", ""): multi_state_batches(staged),
+    }
     for key, batch in expected_current.items():
-        failing = expected_current_batch(current, key, batch)
-        parts.append(_counted(failing, {("current_batch", key): F.count(F.lit(1))}, "current_bookings", ERROR))
+        failing["current_batch", "current_bookings", key] = expected_current_batch(current, key, batch)
     for name, spec in SAVED.items():
-        failing = reconcile(relations[name], relations[spec.mart], name)
-        parts.append(_failures(failing, "reconcile", name, ERROR))
-    warnings = {
-        "adr_outliers": adr_outliers(metrics),
-        "invalid_arrival_dates": invalid_arrival_dates(current),
-        "missing_dimensions": missing_dimensions(metrics),
-        "zero_guests": zero_guests(metrics),
-        "zero_nights": zero_nights(metrics),
-    }
-    for check, failing in warnings.items():
-        relation = "current_bookings" if check == "invalid_arrival_dates" else "booking_metrics"
-        parts.append(_failures(failing, check, relation, WARN))
-    return reduce(DataFrame.unionByName, parts)
+        failing["reconcile", name, ""] = reconcile(relations[name], relations[spec.mart], name)
+    parts = [_counted(df, [(*line, ERROR, _row_count())]) for line, df in failing.items()]
+    warnings = [
+        (check, relation, "", WARN, F.count_if(condition()))
+        for check, (relation, condition) in WARNINGS.items()
+    ]
+    return _union_all([*parts, _counted(relations["booking_metrics"], warnings)])
 
 
 def declared_checks(relations: dict[str, DataFrame]) -> DataFrame:
-    parts = [check_relation(relations[name], name, checks) for name, checks in DECLARED.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return _union_all([check_relation(relations[name], name, checks) for name, checks in DECLARED.items()])
 
 
 def check_suite(relations: dict[str, DataFrame], expected_current: dict[str, str] | None = None) -> DataFrame:
@@ -285,7 +310,7 @@ def object_counts(relations: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.lit(name).alias("object_name"), F.count(F.lit(1)).alias("row_count"))
         for name, df in relations.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return _union_all(parts)
 
 
 def run_validation(relations: dict[str, DataFrame], expected_current: dict[str, str] | None = None) -> DataFrame:
@@ -321,4 +346,4 @@ def run_validation(relations: dict[str, DataFrame], expected_current: dict[str,
     for key, batch in (expected_current or {}).items():
         failing = expected_current_batch(current, key, batch).agg(F.count(F.lit(1)).alias("n"))
         parts.append(lines(failing, "current_batch", F.lit(key), F.col("n"), F.col("n") == 0))
-    return reduce(DataFrame.unionByName, parts)
+    return _union_all(parts)

@@ -77,3 +77,9 @@ def build_warehouse(history: DataFrame) -> dict[str, DataFrame]:
         **materialize_all(serving),
         **{name: refresh(fact, name) for name in SAVED},
     }
+
+
+def publish(relations: dict[str, DataFrame], names: dict[str, str] | None = None) -> None:
+    """Make relations queryable with ``spark.sql`` under their own or the given names."""
+    for name, df in relations.items():
+        df.createOrReplaceTempView((names or {}).get(name, name))
