@@ -37,9 +37,10 @@ SAVED: dict[str, Saved] = {
 
 
 def _drop(spark: SparkSession, name: str) -> None:
-    """Drop whatever object has that name, a table or a view."""
+    """Drop whatever object has that name: a temporary view, a view or a table."""
+    spark.catalog.dropTempView(name)
     if spark.catalog.tableExists(name):
-        kind = "VIEW" if spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY") else "TABLE"
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
         spark.sql(f"DROP {kind} IF EXISTS {name}")
 
 

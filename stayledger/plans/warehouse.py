@@ -80,6 +80,11 @@ def build_warehouse(history: DataFrame) -> dict[str, DataFrame]:
 
 
 def publish(relations: dict[str, DataFrame], names: dict[str, str] | None = None) -> None:
-    """Make relations queryable with ``spark.sql`` under their own or the given names."""
+    """Make relations queryable with ``spark.sql`` under their own or the given names.
+
+    Saved aggregates are tables already and need no view of the same name.
+    """
+    names = names or {}
     for name, df in relations.items():
-        df.createOrReplaceTempView((names or {}).get(name, name))
+        if name not in SAVED or name in names:
+            df.createOrReplaceTempView(names.get(name, name))

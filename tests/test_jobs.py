@@ -60,4 +60,5 @@ def test_sql_over_published_relations(spark, tmp_path):
         "SELECT batch_id, COUNT(*) AS row_count FROM staged_history GROUP BY batch_id ORDER BY batch_id"
     ).collect()
     assert [tuple(r) for r in counted] == [("batch_001_initial", 9)]
-    assert spark.sql("SELECT SUM(bookings) FROM mv_hotel_performance").first()[0] == 9
+    for name in ("mv_hotel_performance", "saved_hotel"):
+        assert spark.sql(f"SELECT SUM(bookings) FROM {name}").first()[0] == 9
