@@ -22,7 +22,7 @@ MONTH_NAMES = [
     "november",
     "december",
 ]
-TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd"]
+TIMESTAMP_FORMATS = {"space": "yyyy-M-d H:m:s", "letter": "yyyy-M-d'T'H:m:s", "date": "yyyy-M-d"}
 
 
 def null_if_absent(trimmed: Column) -> Column:
@@ -58,6 +58,18 @@ def date_from_parts(year: Column, month: Column, day: Column) -> Column:
 
 
 def parse_effective_at(value: Column) -> Column:
-    """A batch time in any of the accepted formats, else NULL."""
-    trimmed = F.trim(value)
-    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS])
+    """A batch time in any of the accepted formats, else NULL.
+
+    The format is chosen by shape, so that a good value is parsed once and no
+    parse fails on the way to the right one.
+    """
+    text = strip(value)
+
+    def parsed(shape: str) -> Column:
+        return F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMATS[shape]))
+
+    return (
+        F.when(F.contains(text, F.lit("T")), parsed("letter"))
+        .when(F.contains(text, F.lit(":")), parsed("space"))
+        .otherwise(parsed("date"))
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.schema import HISTORY_COLUMNS, HISTORY_PARTITION, HISTORY_SCHEMA
-from stayledger.session import broadcast_if_small
+from stayledger.session import broadcast_if_small, materialize
 from stayledger.sources.batches import BATCH_GLOB, history_rows, list_batch_files
 
 
@@ -44,10 +44,15 @@ def append_history(rows: DataFrame, path: str) -> int:
     return load.get["rows"]
 
 
-def pending_files(spark: SparkSession, files: DataFrame, path: str) -> DataFrame:
-    """Files whose batch the history does not hold yet. Reads one column of it."""
-    loaded = read_history(spark, path).select("batch_id").distinct()
-    return files.join(broadcast_if_small(loaded, rows=loaded.count()), "batch_id", "left_anti")
+def without_loaded(rows: DataFrame, path: str) -> DataFrame:
+    """Rows (or files) whose batch the history does not hold yet.
+
+    One column of the history is read, once; the ids found are counted to
+    choose the join.
+    """
+    history = read_history(rows.sparkSession, path)
+    loaded = materialize(history.select("batch_id").distinct(), "loaded_batches")
+    return rows.join(broadcast_if_small(loaded, rows=loaded.count()), "batch_id", "left_anti")
 
 
 def ingest(
@@ -61,7 +66,7 @@ def ingest(
     started = datetime.now(timezone.utc)
     create_history(spark, path)
     files = list_batch_files(spark, root, pattern)
-    pending = files if force else pending_files(spark, files, path)
+    pending = files if force else without_loaded(files, path)
     # Only the file listing comes to the driver, where a scan's listing is held anyway.
     paths = [row["path"] for row in pending.select("path").collect()]
     if not paths:

@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 from stayledger.schema import BATCH_FILE_SCHEMA, HISTORY_COLUMNS
 from stayledger.session import broadcast_if_small
 from stayledger.sources.batches import BATCH_GLOB, file_hashes, with_lineage
-from stayledger.sources.history import append_history, create_history, read_history
+from stayledger.sources.history import append_history, create_history, without_loaded
 
 
 def _append_new(rows: DataFrame, path: str) -> None:
     spark = rows.sparkSession
-    loaded = read_history(spark, path).select("batch_id").distinct()
-    fresh = rows.join(broadcast_if_small(loaded, rows=loaded.count()), "batch_id", "left_anti")
+    fresh = without_loaded(rows, path)
     # The file names of one run; the stream's own log holds the same list.
     files = [r[0] for r in rows.select("source_object_path").distinct().collect()]
     if files:

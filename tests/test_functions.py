@@ -36,12 +36,14 @@ def test_month_number(spark):
 
 
 def test_effective_time_formats(spark):
-    values = ["2026-01-02 03:04:05", "2026-01-02T03:04:05", " 2026-01-02 ", "02.01.2026", None]
+    values = ["2026-01-02 03:04:05", "2026-01-02T03:04:05", " 2026-01-02 ", "2026-1-2 3:4:5", "02.01.2026", "T", None]
     first = datetime(2026, 1, 2, 3, 4, 5)
     assert column_of(spark, values, "string", cleaning.parse_effective_at) == [
         first,
         first,
         datetime(2026, 1, 2),
+        first,
+        None,
         None,
         None,
     ]
