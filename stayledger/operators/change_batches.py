@@ -2,7 +2,7 @@
 
 From one source of numbered rows: an initial load, updates with new keys and
 exact duplicates, a replay, a same-state delivery and a reverted state. Used to
-test the pipeline end to end on real rows.
+test all layers end to end on real rows.
 """
 
 from __future__ import annotations
