@@ -109,3 +109,47 @@ FROM placed p
 JOIN templates t ON p.host = t.host AND p.path = t.path
 JOIN scored s ON t.host = s.host AND t.branch = s.branch AND t.template = s.template
 """
+
+REPEATED_WINDOWS = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+words AS (
+  SELECT doc_id, i, w[i] AS word, CASE WHEN i + 12 <= len(w) THEN array_to_string(w[i:i + 12], ' ') END AS span
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts)),
+firsts AS (SELECT span, min(doc_id) AS doc FROM words WHERE span IS NOT NULL GROUP BY span),
+marked AS (
+  SELECT w.doc_id, w.i, w.word,
+    coalesce(bool_or(f.doc < w.doc_id) OVER (PARTITION BY w.doc_id ORDER BY w.i
+             ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM words w LEFT JOIN firsts f ON w.span = f.span),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
+REPEATED_BYTES = r"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (
+  SELECT doc_id, i, substr(h, 2 * i - 1, 2) AS byte,
+    CASE WHEN 2 * (i + 49) <= length(h) THEN substr(h, 2 * i - 1, 100) END AS span
+  FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 + 1)) AS i FROM texts)),
+firsts AS (SELECT span, min(doc_id) AS doc FROM bytes WHERE span IS NOT NULL GROUP BY span),
+marked AS (
+  SELECT b.doc_id, b.i, b.byte,
+    coalesce(bool_or(f.doc < b.doc_id) OVER (PARTITION BY b.doc_id ORDER BY b.i
+             ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM bytes b LEFT JOIN firsts f ON b.span = f.span),
+edged AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM marked),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+    string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM edged GROUP BY doc_id)
+SELECT t.doc_id, (length(t.h) // 2)::BIGINT AS n_bytes, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+  coalesce(k.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.kept, ''))) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import mixing, oracle, url_filter
+from stayledger.llm import mixing, oracle, substring_dedup, suffix_dedup, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,14 +17,27 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, folder, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeats_digest(_table(spark, folder, "documents"))
+
+
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeats_digest(_table(spark, folder, "documents"))
+
+
 def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_digest(_table(spark, folder, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_mix_sources, op10_url_templates]
+    found = [op4_mix_sources, op5_substring_dedup, op7_suffix_dedup, op10_url_templates]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mix_sources": oracle.MIX_SOURCES, "op10_url_templates": oracle.URL_TEMPLATES}
+    return {
+        "op4_mix_sources": oracle.MIX_SOURCES,
+        "op5_substring_dedup": oracle.REPEATED_WINDOWS,
+        "op7_suffix_dedup": oracle.REPEATED_BYTES,
+        "op10_url_templates": oracle.URL_TEMPLATES,
+    }
