@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import mixing, oracle, substring_dedup, suffix_dedup, url_filter
+from stayledger.llm import licenses, mixing, oracle, pii, spotsigs, substring_dedup, suffix_dedup, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_digest(_table(spark, folder, "documents"))
+
+
+def op2_pii_patterns(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pii_digest(_table(spark, folder, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, folder, "documents"))
 
@@ -25,12 +33,24 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeats_digest(_table(spark, folder, "documents"))
 
 
+def op9_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.fingerprint_digest(_table(spark, folder, "documents"))
+
+
 def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_digest(_table(spark, folder, "pages"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_mix_sources, op5_substring_dedup, op7_suffix_dedup, op10_url_templates]
+    found = [
+        op1_license_scan,
+        op2_pii_patterns,
+        op4_mix_sources,
+        op5_substring_dedup,
+        op7_suffix_dedup,
+        op9_spot_signatures,
+        op10_url_templates,
+    ]
     return {f.__name__: f for f in found}
 
 
