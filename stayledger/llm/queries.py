@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import licenses, mixing, oracle, pii, spotsigs, substring_dedup, suffix_dedup, url_filter
+from stayledger.llm import licenses, mixing, oracle, pii, quality, spotsigs, substring_dedup, suffix_dedup, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeats_digest(_table(spark, folder, "documents"))
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_digest(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.fingerprint_digest(_table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_mix_sources,
         op5_substring_dedup,
         op7_suffix_dedup,
+        op8_quality,
         op9_spot_signatures,
         op10_url_templates,
     ]
