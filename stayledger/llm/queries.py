@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import licenses, mixing, oracle, pii, quality, spotsigs, substring_dedup, suffix_dedup, url_filter
+from stayledger.llm import (
+    decontaminate,
+    licenses,
+    mixing,
+    oracle,
+    pii,
+    quality,
+    spotsigs,
+    substring_dedup,
+    suffix_dedup,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +32,10 @@ def op2_pii_patterns(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pii_digest(_table(spark, folder, "documents"))
 
 
+def op3_latent_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_digest(_table(spark, folder, "documents"))
 
@@ -49,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_license_scan,
         op2_pii_patterns,
+        op3_latent_leaks,
         op4_mix_sources,
         op5_substring_dedup,
         op7_suffix_dedup,
