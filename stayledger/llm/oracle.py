@@ -153,3 +153,27 @@ SELECT t.doc_id, (length(t.h) // 2)::BIGINT AS n_bytes, coalesce(k.n_removed, 0)
   coalesce(k.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.kept, ''))) AS kept_sha256
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
 """
+
+JACCARD_JOIN = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM texts)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * k >= 80 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, w.b FROM reach r JOIN ways w ON r.other = w.a)
+SELECT r.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
+FROM reach r LEFT JOIN sizes s ON r.doc_id = s.doc_id GROUP BY r.doc_id
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.llm import (
     decontaminate,
+    jaccard_join,
     licenses,
     mixing,
     oracle,
@@ -44,6 +45,10 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeats_digest(_table(spark, folder, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.components_digest(_table(spark, folder, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeats_digest(_table(spark, folder, "documents"))
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_latent_leaks,
         op4_mix_sources,
         op5_substring_dedup,
+        op6_jaccard_join,
         op7_suffix_dedup,
         op8_quality,
         op9_spot_signatures,
@@ -79,6 +85,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_mix_sources": oracle.MIX_SOURCES,
         "op5_substring_dedup": oracle.REPEATED_WINDOWS,
+        "op6_jaccard_join": oracle.JACCARD_JOIN,
         "op7_suffix_dedup": oracle.REPEATED_BYTES,
         "op10_url_templates": oracle.URL_TEMPLATES,
     }
