@@ -68,7 +68,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, seed: int | None = N
                     at = Windows(hashes, owner, window, lengths[0])
                     yield docs[at.rows], code(at.codes, lengths[0])
 
-        return announced(pairs(), code_parts, lengths[0] < window)
+        return announced(pairs(), code_parts, lengths[0] < window, lengths[0] == window)
 
     found = rows.mapInArrow(seeds, CODES)
     texts = by_document(rows, text_parts)
@@ -100,7 +100,7 @@ def _extension(window: int, shorter: int, gram: int, code, code_parts: int):
                 good = hits[ends] > hits[ends - high.sizes]
                 yield docs[high.rows[good]], code(high.codes[good], gram)
 
-        return pa.Table.from_batches(announced(pairs(), code_parts, gram < window), CODES_ARROW)
+        return pa.Table.from_batches(announced(pairs(), code_parts, gram < window, gram == window), CODES_ARROW)
 
     return extend
 

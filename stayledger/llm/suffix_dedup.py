@@ -1,13 +1,14 @@
 """Repeated byte strings through suffix order and longest previous factors.
 
-A string of 50 bytes is looked up by its least gram of 24 bytes (by hash, so that equal
-strings choose alike). Grams that one document alone has cannot lie in a repeat and stop
-there. For the others the bytes around them travel to the gram's partition. Equal
-surroundings are one; where they differ, the suffixes that start in them are put in order
-(to the depth of 50 bytes, which is all that decides) and for each suffix the nearest ones
-before and after it in that order that lie in a smaller document are its possible earlier
-matches: its previous factor is long enough if it shares 50 bytes with one of them. Later
-copies go, the first stays.
+A string of 50 bytes is looked up by its least gram of 20 bytes (by hash, so that equal
+strings choose alike). A run of strings with the same least gram is announced with that
+gram's code and a hash of all its bytes. Grams that one document alone has cannot lie in a
+repeat and stop there. A run that a smaller document has with all its bytes is a later copy
+and settled. Where runs around the same gram differ, their bytes travel to the gram's
+partition; the suffixes that start in them are put in order (to the depth of 50 bytes, which
+is all that decides), and for each suffix the nearest ones before and after it in that order
+that lie in a smaller document are its possible earlier matches: its previous factor is long
+enough if it shares 50 bytes with one of them. Later copies go, the first stays.
 
 Defined cases: a null or empty text has no bytes; a text shorter than 50 bytes loses nothing;
 rows with equal ids do not remove each other's bytes; a null id comes after all others; an
@@ -21,31 +22,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.llm.exchange import (
-    CODES,
-    FLUSH_CODES,
-    NO_ID,
-    Answers,
-    Windows,
-    announced,
-    partition_counts,
-    rows_by_document,
-    shared_codes,
-    short_code,
-)
+from stayledger.llm.exchange import NO_ID, Windows, partition_counts, rows_by_document
 from stayledger.llm.substring_dedup import by_document
-from stayledger.llm.units import Rolling, byte_table, chunks, pack
+from stayledger.llm.units import Rolling, byte_table, chunks, mix, pack
 
 LENGTH = 50
-GRAM = 24
-AROUND = "part long, docs binary, texts binary, codes binary, starts binary, sizes binary, bytes binary"
-_AROUND = AROUND.replace(" long", "").replace(" binary", "").split(", ")
-AROUND_ARROW = pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n in _AROUND[1:]]])
-FOUND = "part long, docs binary, texts binary, starts binary, sizes binary"
-_FOUND = FOUND.replace(" long", "").replace(" binary", "").split(", ")
-FOUND_ARROW = pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n in _FOUND[1:]]])
+GRAM = 20
+FLUSH_RUNS = 1_000_000
+FLUSH_BYTES = 16 << 20
+
+#: Columns of the exchanges: everything but the partition is an array in a binary value.
+_TYPES = {
+    "docs": np.int64, "counts": np.uint32, "codes": np.uint32, "low": np.uint32, "high": np.uint16,
+    "marks": np.uint64, "texts": np.uint64, "starts": np.int32, "sizes": np.int32, "bytes": np.uint8,
+}
+RUNS = ("docs", "codes", "low", "high", "marks")
+MARKS = ("docs", "marks")
+AROUND = ("docs", "texts", "starts", "sizes", "bytes")
+FOUND = ("docs", "texts", "starts", "sizes")
 RESULT = "doc long, n_bytes long, n_removed long, kept binary, spans array<struct<start:int,bytes:int>>"
-_TYPES = {"docs": np.int64, "texts": np.uint64, "codes": np.uint64, "starts": np.int32, "sizes": np.int32}
+#: Lowest bit of a mark: the run is a later copy, or its bytes are to be compared.
+COPY, COMPARE = 0, 1
+
+
+def _schema(names: tuple[str, ...]) -> tuple[str, pa.Schema]:
+    """For Spark and for Arrow. Documents are run-length coded in docs and counts."""
+    names = ("docs", "counts", *names[1:])
+    said = "part long, " + ", ".join(f"{n} binary" for n in names)
+    return said, pa.schema([("part", pa.int64()), *[(n, pa.binary()) for n in names]])
 
 
 def _texts(batch, length: int, gram: int):
@@ -66,64 +70,110 @@ def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
 
 
-def _split(columns: dict[str, np.ndarray], parts: np.ndarray, schema: pa.Schema, data=None):
-    """A record batch with a row per partition; data: (bytes, starts, sizes) of each entry."""
+def _split(names, columns: dict[str, np.ndarray], parts: np.ndarray, data=None) -> pa.RecordBatch:
+    """A record batch with a row per partition; data: (bytes, starts, sizes) of each entry.
+
+    Columns that are not given are empty."""
+    schema = _schema(names)[1]
     order = np.argsort(parts, kind="stable")
-    names, firsts = np.unique(parts[order], return_index=True)
-    out = [[] for _ in schema.names[1:]]
+    found, firsts = np.unique(parts[order], return_index=True)
+    out = {n: [] for n in schema.names[1:]}
     for a, b in zip(firsts, np.append(firsts[1:], len(order))):
         own = order[a:b]
-        for k, name in enumerate(schema.names[1:]):
-            out[k].append(pack(columns[name][own] if name in columns else gather(data[0], data[1][own], data[2][own])))
-    return pa.record_batch([pa.array(names.astype(np.int64)), *[pa.array(c, pa.binary()) for c in out]], schema=schema)
-
-
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    kind = _TYPES.get(name, np.uint8)
-    return np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in table.column(name).to_pylist()]])
-
-
-def earlier_matches(docs, codes, sizes, data, length) -> tuple[np.ndarray, np.ndarray]:
-    """(entry, offset in it) of suffixes whose first ``length`` bytes a smaller document has.
-
-    Entry k has ``sizes[k]`` suffixes and ``sizes[k] + length - 1`` bytes of ``data``. Suffixes
-    can only match where their entries have the same code.
-    """
-    spans = sizes.astype(np.int64) + length - 1
-    begins = np.cumsum(spans) - spans
-    identity = Rolling(byte_table("around", False)[data]).span(begins, begins + spans)
-    order = np.lexsort((docs, spans, identity, codes))
-    same = np.zeros(len(order), bool)
-    i, c = identity[order], codes[order]
-    same[1:] = (i[1:] == i[:-1]) & (c[1:] == c[:-1]) & (spans[order][1:] == spans[order][:-1])
-    heads = np.flatnonzero(~same)
-    group = np.cumsum(~same) - 1
-    least = docs[order][heads]
-    later = docs[order] > least[group]
-    # entries with a twin in a smaller document are removed whole
-    whole = order[later]
-    entry = [np.repeat(whole, sizes[whole])]
-    offset = [_counts(sizes[whole])]
-    # one entry for each distinct surrounding; codes that have several are put in suffix order
-    ours = order[heads]
-    code_heads = np.append(True, codes[ours][1:] != codes[ours][:-1])[: len(ours)]
-    code_group = np.cumsum(code_heads) - 1
-    several = np.bincount(code_group)[code_group] > 1 if len(ours) else np.zeros(0, bool)
-    keep = np.flatnonzero(several)
-    if len(keep):
-        mine = ours[keep]
-        rep = np.repeat(keep, sizes[mine])
-        off = _counts(sizes[mine])
-        at = begins[ours[rep]] + off
-        found = previous_factor(docs[ours[rep]], at, data, length)
-        rep, off = rep[found], off[found]
-        # all entries of that surrounding in its least document (later ones are already whole)
-        stay = np.flatnonzero(~later)
-        lows = np.searchsorted(group[stay], rep)
-        highs = np.searchsorted(group[stay], rep, "right")
-        entry.append(order[stay[np.repeat(lows, highs - lows) + _counts(highs - lows)]])
-        offset.append(np.repeat(off, highs - lows))
-    return np.concatenate(entry), np.concatenate(offset)
+        docs = columns["docs"][own]
+        heads = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+        out["docs"].append(pack(docs[heads]))
+        out["counts"].append(pack(np.diff(np.append(heads, len(docs))).astype(np.uint32)))
+        for name in schema.names[3:]:
+            if name in columns:
+                out[name].append(pack(columns[name][own].astype(_TYPES[name])))
+            else:
+                out[name].append(pack(gather(data[0], data[1][own], data[2][own])) if name == "bytes" and data else b"")
+    return pa.record_batch([pa.array(found.astype(np.int64)), *[pa.array(c, pa.binary()) for c in out.values()]], schema=schema)
+
+
+def _joined(table: pa.Table, names, filled: str) -> dict[str, np.ndarray]:
+    """The columns of the rows of one partition in which the column ``filled`` is not empty."""
+    rows = [r for r in zip(*(table.column(n).to_pylist() for n in _schema(names)[1].names))]
+    at = {n: k for k, n in enumerate(_schema(names)[1].names)}
+    rows = [r for r in rows if r[at[filled]]]
+    out = {}
+    for name in ("counts", *names):
+        kind = _TYPES[name]
+        out[name] = np.concatenate([np.zeros(0, kind), *[np.frombuffer(r[at[name]], kind) for r in rows]])
+    out["docs"] = np.repeat(out["docs"], out.pop("counts"))
+    sizes = [len(r[at["docs"]]) and int(np.frombuffer(r[at["counts"]], np.uint32).sum()) for r in rows]
+    out["part"] = np.repeat(np.array([r[0] for r in rows], np.int64), np.array(sizes, np.int64))
+    return out
+
+
+def _mark(codes: np.ndarray, low: np.ndarray, high: np.ndarray, kind: int) -> np.ndarray:
+    """A number for a run: its gram's code and the hash of its bytes, with the kind of answer."""
+    whole = (high.astype(np.uint64) << np.uint64(32)) | low
+    return (mix(codes.astype(np.uint64) ^ mix(whole)) & ~np.uint64(1)) | np.uint64(kind)
+
+
+def _groups(*keys: np.ndarray) -> np.ndarray:
+    """True where sorted keys change."""
+    fresh = np.ones(len(keys[0]), bool)
+    fresh[1:] = False
+    for key in keys:
+        fresh[1:] |= key[1:] != key[:-1]
+    return fresh
+
+
+def _least(values: np.ndarray, fresh: np.ndarray, pick=np.minimum) -> np.ndarray:
+    heads = np.flatnonzero(fresh)
+    if not len(heads):
+        return values
+    return np.repeat(pick.reduceat(values, heads), np.diff(np.append(heads, len(values))))
+
+
+def _sorted_runs(docs, codes, whole):
+    order = np.lexsort((docs, whole, codes))
+    docs, codes, whole = docs[order], codes[order], whole[order]
+    fresh = _groups(docs, codes, whole)
+    return docs[fresh], codes[fresh], whole[fresh]
+
+
+def announce_runs(docs, codes, whole, code_parts: int):
+    """Runs of a task: of equal ones only that of the least document asks, later copies are settled."""
+    docs, codes, whole = _sorted_runs(docs, codes, whole)
+    n = np.uint64(code_parts)
+    columns = {
+        "docs": docs,
+        "codes": (codes // n).astype(np.uint32),
+        "low": (whole & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+        "high": (whole >> np.uint64(48)).astype(np.uint16),
+    }
+    # equal to all bits that travel, so that both ends name a run alike
+    ask = docs == _least(docs, _groups(codes, columns["low"], columns["high"]))
+    rest = ~ask
+    if rest.any():
+        marks = _mark(columns["codes"][rest], columns["low"][rest], columns["high"][rest], COPY)
+        order = np.argsort(docs[rest], kind="stable")
+        own = docs[rest][order]
+        yield _split(RUNS, {"docs": own, "marks": marks[order]}, own % code_parts)
+    order = np.flatnonzero(ask)[np.argsort(docs[ask], kind="stable")]
+    yield _split(RUNS, {k: v[order] for k, v in columns.items()}, (codes[order] % n).astype(np.int64))
+
+
+def resolve_runs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, marks) of later copies, and of runs to compare: first ones of their bytes
+    around a gram that other documents have in other surroundings."""
+    done, open_ = _joined(table, RUNS, "marks"), _joined(table, RUNS, "codes")
+    whole = (open_["high"].astype(np.uint64) << np.uint64(32)) | open_["low"]
+    docs, codes, whole = _sorted_runs(open_["docs"], open_["codes"], whole)
+    by_gram, by_run = _groups(codes), _groups(codes, whole)
+    copy = docs > _least(docs, by_run)
+    shared = _least(docs, by_gram) < _least(docs, by_gram, np.maximum)
+    kinds = _least(by_run.astype(np.int64), by_gram, np.add)
+    compare = ~copy & shared & (kinds > 1)
+    low, high = whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32)
+    out_docs = np.concatenate([done["docs"], docs[copy], docs[compare]])
+    out = [done["marks"], _mark(codes[copy], low[copy], high[copy], COPY)]
+    out.append(_mark(codes[compare], low[compare], high[compare], COMPARE))
+    return out_docs, np.concatenate(out)
 
 
 def _counts(sizes: np.ndarray) -> np.ndarray:
@@ -132,6 +182,23 @@ def _counts(sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
 
+def _merged(docs, texts, starts, sizes):
+    """Intervals of window starts, those that touch as one."""
+    order = np.lexsort((starts, texts, docs))
+    docs, texts, starts, sizes = docs[order], texts[order], starts[order].astype(np.int64), sizes[order].astype(np.int64)
+    fresh = _groups(docs, texts)
+    ends = starts + sizes
+    if len(ends) > 1:
+        group = np.cumsum(fresh) * (np.int64(1) << 33)
+        reach = np.maximum.accumulate(ends + group) - group
+        fresh[1:] |= starts[1:] > reach[:-1]
+    else:
+        reach = ends
+    heads = np.flatnonzero(fresh)
+    last = np.append(heads[1:], len(docs))[: len(heads)] - 1
+    return {"docs": docs[heads], "texts": texts[heads], "starts": starts[heads], "sizes": reach[last] - starts[heads]}
+
+
 def previous_factor(docs: np.ndarray, starts: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
     """True for the suffixes whose longest previous factor has ``length`` bytes.
 
@@ -166,66 +233,93 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     """Per document: its id, bytes, removed bytes, the bytes kept and the removed runs."""
     rows = rows_by_document(docs, id_col, text_col)
     code_parts, text_parts = partition_counts(rows)
-
-    def seeds(batches):
-        def pairs():
-            for batch in batches:
-                for docs, _, _, at, _ in _texts(batch, length, gram):
-                    yield docs[at.rows], short_code(at.codes, code_parts)
-
-        return announced(pairs(), code_parts, True)
-
-    shared = shared_codes(rows.mapInArrow(seeds, CODES), text_parts, code_parts, False)
     texts = by_document(rows, text_parts)
 
-    def surroundings(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, out, held, size = Answers(right), [], [], 0
+    def around(at: Windows, data, table):
+        return Rolling(table[data]).span(at.first, at.first + at.sizes + length - 1)
+
+    def announce(batches):
+        held, size = [], 0
+        for batch in batches:
+            for docs, data, _, at, table in _texts(batch, length, gram):
+                held.append((docs[at.rows], at.codes, around(at, data, table)))
+                size += len(at.codes)
+                if size >= FLUSH_RUNS:
+                    yield from announce_runs(*map(np.concatenate, zip(*held)), code_parts)
+                    held, size = [], 0
+        if size:
+            yield from announce_runs(*map(np.concatenate, zip(*held)), code_parts)
+
+    def resolve(table: pa.Table) -> pa.Table:
+        docs, marks = resolve_runs(table)
+        order = np.argsort(docs, kind="stable")
+        columns = {"docs": docs[order], "marks": marks[order]}
+        return pa.Table.from_batches([_split(MARKS, columns, docs[order] % text_parts)], _schema(MARKS)[1])
+
+    def surround(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = _joined(right, MARKS, "docs")
+        known = np.unique(mix(known["docs"].astype(np.uint64)) ^ known["marks"])
+
+        def has(docs, marks):
+            keys = mix(docs.astype(np.uint64)) ^ marks
+            at = np.searchsorted(known, keys)
+            at[at == len(known)] = 0
+            return known[at] == keys if len(known) else np.zeros(len(keys), bool)
+
+        out, held, size = [], [], 0
+
+        def flush():
+            columns = {n: np.concatenate([h[0][n] for h in held]) for n in held[0][0]}
+            spans, parts = (np.concatenate([h[k] for h in held]) for k in (2, 3))
+            data = np.concatenate([h[1] for h in held])
+            out.append(_split(AROUND, columns, parts, (data, np.cumsum(spans) - spans, spans)))
+
         for docs, data, offsets, at, table in _texts(left, length, gram):
-            codes = short_code(at.codes, code_parts)
-            hit = np.flatnonzero(known.has(docs[at.rows], codes))
-            row = at.rows[hit]
-            columns = {
-                "docs": docs[row],
-                "texts": _whole(data, offsets, table)[row],
-                "codes": codes[hit],
-                "starts": (at.first[hit] - offsets[row]).astype(np.int32),
-                "sizes": at.sizes[hit].astype(np.int32),
-            }
-            spans = at.sizes[hit] + length - 1
-            held.append((columns, gather(data, at.first[hit], spans), spans))
-            size += len(hit)
-            if size >= FLUSH_CODES // 8:
-                out.append(_flush(held, code_parts))
-                held, size = [], 0
+            whole = around(at, data, table)
+            low, high = (whole & np.uint64(0xFFFFFFFF)), whole >> np.uint64(48)
+            codes = ((at.codes // np.uint64(code_parts)).astype(np.uint32)).astype(np.uint64)
+            owner = docs[at.rows]
+            text = _whole(data, offsets, table)[at.rows]
+            start = at.first - offsets[at.rows]
+            copy = has(owner, _mark(codes, low, high, COPY))
+            if copy.any():
+                intervals = _merged(owner[copy], text[copy], start[copy], at.sizes[copy])
+                out.append(_split(AROUND, intervals, intervals["docs"] % code_parts))
+            hit = np.flatnonzero(has(owner, _mark(codes, low, high, COMPARE)) & ~copy)
+            if len(hit):
+                spans = at.sizes[hit] + length - 1
+                columns = {"docs": owner[hit], "texts": text[hit], "starts": start[hit], "sizes": at.sizes[hit]}
+                parts = (at.codes[hit] % np.uint64(code_parts)).astype(np.int64)
+                held.append((columns, gather(data, at.first[hit], spans), spans, parts))
+                size += int(spans.sum())
+                if size >= FLUSH_BYTES:
+                    flush()
+                    held, size = [], 0
         if held:
-            out.append(_flush(held, code_parts))
-        return pa.Table.from_batches(out, AROUND_ARROW)
-
-    around = texts.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(surroundings, AROUND)
+            flush()
+        return pa.Table.from_batches(out, _schema(AROUND)[1])
 
     def match(table: pa.Table) -> pa.Table:
-        c = {n: _column(table, n) for n in _AROUND[1:]}
-        entry, offset = earlier_matches(c["docs"], c["codes"], c["sizes"], c["bytes"], length)
-        begin = c["starts"][entry] + offset
-        order = np.lexsort((begin, c["texts"][entry], c["docs"][entry]))
-        entry, begin = entry[order], begin[order]
-        docs, texts = c["docs"][entry], c["texts"][entry]
-        fresh = np.ones(len(entry), bool)
-        fresh[1:] = (docs[1:] != docs[:-1]) | (texts[1:] != texts[:-1]) | (begin[1:] > begin[:-1] + 1)
-        heads = np.flatnonzero(fresh)
-        last = np.append(heads[1:], len(entry)) - 1
-        columns = {
-            "docs": docs[heads],
-            "texts": texts[heads],
-            "starts": begin[heads].astype(np.int32),
-            "sizes": (begin[last] - begin[heads] + 1).astype(np.int32) if len(heads) else heads.astype(np.int32),
-        }
-        return pa.Table.from_batches([_split(columns, docs[heads] % text_parts, FOUND_ARROW)], FOUND_ARROW)
-
-    found = around.groupBy("part").applyInArrow(match, FOUND)
+        c = _joined(table, AROUND, "bytes")
+        sizes = c["sizes"].astype(np.int64)
+        spans = sizes + length - 1
+        entry = np.repeat(np.arange(len(sizes)), sizes)
+        offset = _counts(sizes)
+        found = previous_factor(c["docs"][entry], (np.cumsum(spans) - spans)[entry] + offset, c["bytes"], length)
+        entry, offset = entry[found], offset[found]
+        matched = c["docs"][entry], c["texts"][entry], c["starts"][entry] + offset, np.ones(len(entry), np.int64)
+        # intervals of later copies come along without bytes
+        whole = _joined(_without_bytes(table), AROUND, "docs")
+        copies = whole["docs"], whole["texts"], whole["starts"], whole["sizes"]
+        columns = _merged(*(np.concatenate(x) for x in zip(matched, copies)))
+        return pa.Table.from_batches([_split(FOUND, columns, columns["docs"] % text_parts)], _schema(FOUND)[1])
+
+    marked = rows.mapInArrow(announce, _schema(RUNS)[0]).groupBy("part").applyInArrow(resolve, _schema(MARKS)[0])
+    compared = texts.groupBy("part").cogroup(marked.groupBy("part")).applyInArrow(surround, _schema(AROUND)[0])
+    found = compared.groupBy("part").applyInArrow(match, _schema(FOUND)[0])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        c = {n: _column(right, n) for n in _FOUND[1:]}
+        c = _joined(right, FOUND, "docs")
         order = np.lexsort((c["texts"], c["docs"]))
         c = {n: v[order] for n, v in c.items()}
         table = byte_table("byte", False)
@@ -261,12 +355,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     return texts.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(cut, RESULT)
 
 
-def _flush(held, code_parts: int):
-    columns = {n: np.concatenate([h[0][n] for h in held]) for n in held[0][0]}
-    spans = np.concatenate([h[2] for h in held])
-    data = np.concatenate([h[1] for h in held])
-    parts = (columns["codes"] % np.uint64(code_parts)).astype(np.int64)
-    return _split(columns, parts, AROUND_ARROW, (data, np.cumsum(spans) - spans, spans))
+def _without_bytes(table: pa.Table) -> pa.Table:
+    return table.filter(pa.array([len(x.as_py()) == 0 for x in table.column("bytes")], pa.bool_()))
 
 
 def _result_arrow():
