@@ -91,7 +91,7 @@ def coded(docs: DataFrame, items: Items) -> DataFrame:
     def run(batches):
         table, gaps = byte_table("latent", True), separators()
         for batch in batches:
-            rows = batch.column("_dc_row").to_numpy()
+            rows = batch.column("_dc_row").to_pylist()
             names, codes = [], []
             for first, data, offsets in chunks(batch.column("_dc_text")):
                 data = folded(data)
