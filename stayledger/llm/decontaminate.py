@@ -26,16 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.llm.common import PARTS, blocks_of, summed_blocks
-from stayledger.llm.units import byte_table, chunks, pack, word_hashes, words
+from stayledger.llm.units import binary_parts, byte_table, chunks, pack, word_hashes, words
 from stayledger.session import materialize
 
 BLOCK_BYTES = 8 << 20
+PORTION_BYTES = 1 << 18
 PASSAGE = 32
 RANK = 128
 EXTRA = 16
-COMMON_SHARE = 0.01
+COMMON_SHARE = 0.002
 KEPT_PER_ITEM = 8
-COSINE_FROM = 0.2
+COSINE_FROM = 0.35
 COMMON_FROM = 0.7
 ANSWER_FROM = 0.6
 FOUND = "_dc_row long, item_id long, cosine double, common double, answer double, start int, words int"
@@ -109,22 +110,33 @@ def coded(docs: DataFrame, items: Items) -> DataFrame:
     return materialize(docs.mapInArrow(run, "_dc_row long, codes binary"), "latent_coded")
 
 
-def _passages(batch, kind, weight=None):
-    """(passage, word) entries of whole rows at a time; weighted words only if weights are given."""
-    for value in batch.column("codes"):
-        codes = np.frombuffer(value.as_buffer(), kind).astype(np.int64)
-        at = np.flatnonzero(codes if weight is None else weight[codes])
-        yield at // PASSAGE, codes[at], -(-len(codes) // PASSAGE)
+def _portions(batches, size: int = PORTION_BYTES):
+    """Arrow batches cut into runs of rows with bounded codes, for bounded memory in what follows."""
+    for batch in batches:
+        _, offsets = binary_parts(batch.column("codes"))
+        first = 0
+        while first < batch.num_rows:
+            last = max(int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1, first + 1)
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def _codes(batch, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The words' numbers of all rows, and where rows begin."""
+    data, offsets = binary_parts(batch.column("codes"))
+    codes = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), kind).astype(np.int64)
+    return codes, (offsets - offsets[0]) // np.dtype(kind).itemsize
 
 
 def _collected(batch, kind, weight=None):
-    """The entries of a batch together, passages numbered through."""
-    passages, numbers, base = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-    for p, w, n in _passages(batch, kind, weight):
-        passages.append(p + base)
-        numbers.append(w)
-        base += n
-    return np.concatenate(passages), np.concatenate(numbers), base
+    """(passage, word) entries of a batch, passages numbered through; weighted words only if weights are given."""
+    codes, offsets = _codes(batch, kind)
+    sizes = np.diff(offsets)
+    passages = -(-sizes // PASSAGE)
+    base = np.cumsum(passages) - passages
+    at = np.flatnonzero(codes if weight is None else weight[codes])
+    owner = (np.searchsorted(offsets, at, "right") - 1).astype(np.int64)
+    return base[owner] + (at - offsets[owner]) // PASSAGE, codes[at], int(passages.sum())
 
 
 def passage_counts(docs: DataFrame, items: Items) -> np.ndarray:
@@ -132,7 +144,7 @@ def passage_counts(docs: DataFrame, items: Items) -> np.ndarray:
 
     def run(batches):
         total = np.zeros(items.size)
-        for batch in batches:
+        for batch in _portions(batches):
             passages, numbers, n = _collected(batch, items.kind)
             pairs = np.unique(passages * items.size + numbers)
             total += np.bincount(pairs % items.size, minlength=items.size)
@@ -187,7 +199,7 @@ def latent_basis(docs: DataFrame, items: Items, weight: np.ndarray, rank: int =
 
     def sketch(batches):
         total = np.zeros((items.size, width))
-        for batch in batches:
+        for batch in _portions(batches):
             a = _Matrix(batch, items.kind, weight)
             a.back(a.times(start), total)
         yield blocks_of(total, 1 << 15)
@@ -196,7 +208,7 @@ def latent_basis(docs: DataFrame, items: Items, weight: np.ndarray, rank: int =
 
     def small(batches):
         total = np.zeros((width, width))
-        for batch in batches:
+        for batch in _portions(batches):
             t = _Matrix(batch, items.kind, weight).times(basis)
             total += t.T @ t
         yield blocks_of(total, 1 << 15)
@@ -241,6 +253,12 @@ def search(docs: DataFrame, items: Items, weight: np.ndarray, basis: np.ndarray)
         tail = own[-max(3, len(own) // 4) :].tolist()
         patterns.append((_masks(own.tolist()), len(own), _masks(tail), len(tail)))
 
+    padded = np.zeros((len(items.words), max(map(len, items.words))), np.int64)
+    for k, own in enumerate(items.words):
+        padded[k, : len(own)] = own
+    least = np.array([COMMON_FROM * len(own) for own in items.words])
+    scales = {step: np.array(own) for step, own in scales.items()}
+
     def check(codes: np.ndarray, start: int, end: int, k: int):
         text = [w for w in codes[start:end].tolist() if w]
         masks, width, tail, tail_width = patterns[k]
@@ -250,33 +268,61 @@ def search(docs: DataFrame, items: Items, weight: np.ndarray, basis: np.ndarray)
         answer = common_length(tail, tail_width, text) / tail_width
         return (common, answer) if answer >= ANSWER_FROM else None
 
+    widest = max(scales)
+
     def run(batches):
         scaled = (basis * weight[:, None]).astype(np.float32)
-        for batch in batches:
-            out = {n: [] for n in _FOUND}
-            for row, value in zip(batch.column("_dc_row").to_pylist(), batch.column("codes")):
-                codes = np.frombuffer(value.as_buffer(), items.kind).astype(np.int64)
-                at = np.flatnonzero(weight[codes])
-                best: dict[int, tuple] = {}
-                if len(at):
-                    entries = scaled[codes[at]]
-                for step, members in scales.items() if len(at) else ():
-                    block = at // step
-                    heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-                    sums = np.zeros((int(block[-1]) + 2, scaled.shape[1]), np.float32)
-                    sums[block[heads]] = np.add.reduceat(entries, heads)
-                    windows = sums[:-1] + sums[1:]
-                    # a window that starts one block before the first entry is never needed: it holds less
-                    cosine = _unit(windows) @ vectors[members].T
-                    for w, m in zip(*np.nonzero(cosine >= COSINE_FROM)):
-                        k = members[m]
-                        start, end = int(w) * step, min(int(w + 2) * step, len(codes))
+        present = np.zeros(items.size, bool)
+        for batch in _portions(batches):
+            rows = batch.column("_dc_row").to_pylist()
+            codes, offsets = _codes(batch, items.kind)
+            # texts stand apart by a block of the widest scale, so that no window reaches into the next
+            room = -(-np.diff(offsets) // widest) * widest + widest
+            base = np.cumsum(room) - room
+            owner = np.repeat(np.arange(len(rows)), np.diff(offsets))
+            at = np.flatnonzero(weight[codes])
+            if not len(at):
+                continue
+            place = at + (base - offsets[:-1])[owner[at]]
+            entries = scaled[codes[at]]
+            best: dict[tuple[int, int], tuple] = {}
+            for step, members in scales.items():
+                block = place // step
+                heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                own = owner[at[heads]]
+                sums = np.add.reduceat(entries, heads)
+                # the window of a block and the next, and that of a block and an empty one before it
+                filled = block[heads]
+                follows = np.append(filled[1:] == filled[:-1] + 1, False)
+                windows = sums.copy()
+                windows[follows] += sums[1:][follows[:-1]]
+                cosine = _unit(windows) @ vectors[members].T
+                near, item = np.nonzero(cosine >= COSINE_FROM)
+                edges = np.flatnonzero(np.append(True, near[1:] != near[:-1]))[: len(near)]
+                for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(near)]):
+                    w = int(near[a])
+                    doc = int(own[w])
+                    shift = int(offsets[doc] - base[doc])
+                    start = int(filled[w]) * step + shift
+                    end = min(start + 2 * step, int(offsets[doc + 1]))
+                    # an item may begin in the block before, where it has no weighted word
+                    start = max(start - step, int(offsets[doc]))
+                    # no subsequence is longer than the item's words that the window has at all
+                    present[codes[start:end]] = True
+                    present[0] = False
+                    own_items = members[item[a:b]]
+                    enough = present[padded[own_items]].sum(1) >= least[own_items]
+                    present[codes[start:end]] = False
+                    for m, k in zip(item[a:b][enough].tolist(), own_items[enough].tolist()):
                         hit = check(codes, start, end, k)
-                        if hit and (k not in best or hit[0] > best[k][1]):
-                            best[k] = (float(cosine[w, m]), *hit, start, end - start)
-                for k, found in best.items():
-                    for name, x in zip(_FOUND, (row, items.ids[k], *found)):
-                        out[name].append(x)
+                        if hit and ((doc, k) not in best or hit[0] > best[doc, k][1]):
+                            best[doc, k] = (float(cosine[w, m]), *hit, start - int(offsets[doc]), end - start)
+            if not best:
+                continue
+            out = {n: [] for n in _FOUND}
+            for (doc, k), found in best.items():
+                for name, x in zip(_FOUND, (rows[doc], items.ids[k], *found)):
+                    out[name].append(x)
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.int32()]
             yield pa.record_batch([pa.array(out[n], t) for n, t in zip(_FOUND, kinds)], names=_FOUND)
 
