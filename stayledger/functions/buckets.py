@@ -45,6 +45,6 @@ def guest_type(adults: Column, children: Column, babies: Column) -> Column:
     return (
         F.when(no_minors & (adults == 1), GUEST_SOLO)
         .when(no_minors & (adults == 2), GUEST_COUPLE)
-        .when(adults + children + babies > 0, GUEST_GROUP)
+        .when(adults.cast("bigint") + children + babies > 0, GUEST_GROUP)
         .otherwise(GUEST_UNKNOWN)
     )

@@ -51,10 +51,16 @@ def month_number(name: Column) -> Column:
     return F.nullif(F.array_position(names, F.lower(name)), F.lit(0)).cast("int")
 
 
+def at_least(text: Column, width: int) -> Column:
+    """A number's text with zeros in front up to a width; longer ones stay whole."""
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def date_from_parts(year: Column, month: Column, day: Column) -> Column:
     """A date from three numbers; NULL if any is NULL or there is no such day."""
-    two = [F.lpad(part.cast("string"), 2, "0") for part in (month, day)]
-    return F.concat(year.cast("string"), F.lit("-"), two[0], F.lit("-"), two[1]).try_cast("date")
+    two = [at_least(part.cast("string"), 2) for part in (month, day)]
+    made = F.concat(year.cast("string"), F.lit("-"), two[0], F.lit("-"), two[1]).try_cast("date")
+    return F.when(month.between(1, 12) & day.between(1, 31), made)
 
 
 def parse_effective_at(value: Column) -> Column:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date
+from types import EllipsisType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions.measures import ratio_of_sums, total
 
-# Row limits of bar, table and line charts.
-BAR_ROWS, TABLE_ROWS, LINE_ROWS = 10, 50, 10_000
+# The dashboards' row limits of bar charts and tables. Trends have none.
+BAR_ROWS, TABLE_ROWS = 10, 50
 
 
 @dataclass(frozen=True)
@@ -47,13 +48,15 @@ class MeanOfMeans:
 class Chart:
     """A mart, grouping dimensions, measures (name -> aggregate) and a row limit.
 
-    Rows are ordered by the first measure, highest first, then by dimension.
+    Rows are ordered by the first measure, highest first, then by dimension;
+    a trend is ordered by its dimension.
     """
 
     mart: str
     measures: dict[str, Sum | Rate | MeanOfMeans]
     dimensions: list[str] = field(default_factory=list)
     limit: int | None = None
+    trend: bool = False
 
 
 HOTEL, DAILY, MONTHLY = "mart_hotel_performance", "mart_daily_booking_revenue", "mart_monthly_booking_revenue"
@@ -76,10 +79,10 @@ CHARTS: dict[str, Chart] = {
     "chart_realized_revenue": Chart(HOTEL, REALIZED),
     "chart_average_adr": Chart(HOTEL, {"average_adr": MeanOfMeans("avg_adr")}),
     # trends
-    "chart_daily_bookings": Chart(DAILY, {"bookings": Sum("total_bookings")}, ["arrival_date"], LINE_ROWS),
-    "chart_monthly_estimated_revenue": Chart(MONTHLY, ESTIMATED, ["month_start_date"], LINE_ROWS),
+    "chart_daily_bookings": Chart(DAILY, {"bookings": Sum("total_bookings")}, ["arrival_date"], trend=True),
+    "chart_monthly_estimated_revenue": Chart(MONTHLY, ESTIMATED, ["month_start_date"], trend=True),
     "chart_monthly_cancellation_rate": Chart(
-        MONTHLY, CANCELLED_SHARE_OF_TOTAL, ["month_start_date"], LINE_ROWS
+        MONTHLY, CANCELLED_SHARE_OF_TOTAL, ["month_start_date"], trend=True
     ),
     # bars
     "chart_revenue_by_hotel": Chart(HOTEL, REALIZED, ["hotel"], BAR_ROWS),
@@ -137,15 +140,19 @@ def apply_filters(mart: DataFrame, chosen: dict[str, list[str] | tuple[date | No
     return mart
 
 
-def chart_query(mart: DataFrame, chart: Chart, top: int | None = None) -> DataFrame:
-    """Aggregate a mart for a chart. Ordering and limit together run as a top-k."""
+def chart_query(mart: DataFrame, chart: Chart, top: int | None | EllipsisType = ...) -> DataFrame:
+    """Aggregate a mart for a chart. Ordering and limit together run as a top-k.
+
+    ``top`` replaces the chart's own limit; ``None`` gives all rows.
+    """
     measures = [measure.over().alias(name) for name, measure in chart.measures.items()]
     if not chart.dimensions:
         return mart.agg(*measures)
     first = next(iter(chart.measures))
     grouped = mart.groupBy(*chart.dimensions).agg(*measures)
-    ordered = grouped.orderBy(F.desc(first), *[F.asc(d) for d in chart.dimensions])
-    limit = top or chart.limit
+    by_measure = [] if chart.trend else [F.desc(first)]
+    ordered = grouped.orderBy(*by_measure, *[F.asc(d) for d in chart.dimensions])
+    limit = chart.limit if top is ... else top
     return ordered.limit(limit) if limit else ordered
 
 

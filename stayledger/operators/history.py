@@ -30,7 +30,7 @@ def stage(history: DataFrame) -> DataFrame:
         "etl_month": F.month(effective),
         "etl_day": F.dayofmonth(effective),
         "etl_date": F.date_format(effective, "yyyyMMdd"),
-        "raw_batch_sequence": F.lpad(F.col("batch_sequence").cast("string"), 3, "0"),
+        "raw_batch_sequence": cleaning.at_least(F.col("batch_sequence").cast("string"), 3),
     }
     technical = {}
     for name, kind in HISTORY_TECHNICAL.items():

@@ -126,6 +126,22 @@ DIMENSIONS: dict[str, tuple[dict[str, str], list[str]]] = {
 }
 
 
+#: Dimensions whose members are the keys of a mart.
+OF_MART = {
+    "dim_hotel": "mart_hotel_performance",
+    "dim_room": "mart_room_performance",
+    "dim_market_segment": "mart_market_segment_performance",
+    "dim_channel": "mart_channel_performance",
+    "dim_country": "mart_country_performance",
+}
+
+
+def of_mart(marts: dict[str, DataFrame], name: str) -> DataFrame:
+    """The same members as ``build_dimension`` gives, from a mart's rows."""
+    columns, required = DIMENSIONS[name]
+    return _require(marts[OF_MART[name]].select(*columns), required)
+
+
 def _require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(subset=columns) if columns else df
 

@@ -99,15 +99,17 @@ def booking_metrics(current: DataFrame) -> DataFrame:
             **{c: _or_zero(c) for c in ZERO_DEFAULT},
             **{c: _at_least_zero(c) for c in ("adults", "children", "babies")},
             "is_cancelled": _or_zero("is_canceled"),
-            "total_nights": _at_least_zero("stays_in_weekend_nights") + _at_least_zero("stays_in_week_nights"),
+            "total_nights": _at_least_zero("stays_in_weekend_nights").cast("bigint")
+            + _at_least_zero("stays_in_week_nights"),
             "has_negative_adr": F.when(F.col("source_adr") < 0, 1).otherwise(0),
             "adr": _at_least_zero("source_adr").cast("decimal(18,2)"),
         }
     )
-    revenue = F.col("adr") * F.col("total_nights")
+    # two INTs of nights have ten digits at most, so the product always fits
+    revenue = (F.col("adr") * F.col("total_nights")).cast("decimal(29,2)")
     return counted.withColumns(
         {
-            "total_guests": F.col("adults") + F.col("children") + F.col("babies"),
+            "total_guests": F.col("adults").cast("bigint") + F.col("children") + F.col("babies"),
             "estimated_revenue": revenue,
             "realized_revenue": F.when(F.col("is_cancelled") == 0, revenue).otherwise(0),
             "lead_time_bucket": buckets.lead_time_bucket(F.col("lead_time")),

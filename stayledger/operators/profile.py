@@ -22,7 +22,7 @@ DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 TYPE_NAMES = ["integer", "decimal", "date", "string"]
 EMPTY_TYPE = "empty"
 OUTLIER_FACTOR = 1.5
-NUMBER_TYPE = "decimal(18,4)"
+NUMBER_TYPE = "decimal(28,6)"
 PRICE_TYPE = "decimal(28,6)"
 
 
@@ -109,7 +109,8 @@ def revenue_profile(df: DataFrame) -> DataFrame:
     """Zero-night and zero-guest bookings, unusable rows and revenue totals, one row.
 
     Works on the raw values: a negative price is not floored, and a row without
-    one of the needed numbers is only counted as unusable.
+    one of the needed numbers, or whose revenue has too many digits to be exact,
+    is only counted as unusable.
     """
     needed = ["stays_in_weekend_nights", "stays_in_week_nights", "adults", "babies", "adr", "is_canceled"]
     numbers = df.select(
@@ -121,13 +122,14 @@ def revenue_profile(df: DataFrame) -> DataFrame:
         usable = usable & F.col(c).isNotNull()
     nights = F.col("stays_in_weekend_nights") + F.col("stays_in_week_nights")
     guests = F.col("adults") + F.col("children") + F.col("babies")
-    revenue = F.col("adr").cast("decimal(18,4)") * nights.cast("decimal(12,4)")
-    kept = F.col("is_canceled").cast("int") == 0
+    revenue = F.try_multiply(F.col("adr"), nights)
+    usable = usable & revenue.isNotNull()
+    kept = F.abs("is_canceled") < 1
     return numbers.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~usable).alias("invalid_rows"),
         F.count_if(usable & (nights == 0)).alias("zero_night_rows"),
         F.count_if(usable & (guests == 0)).alias("zero_guest_rows"),
-        F.coalesce(F.sum(F.when(usable, revenue)), F.lit(0)).alias("estimated_revenue"),
-        F.coalesce(F.sum(F.when(usable & kept, revenue)), F.lit(0)).alias("realized_revenue"),
+        F.coalesce(F.try_sum(F.when(usable, revenue)), F.lit(0)).alias("estimated_revenue"),
+        F.coalesce(F.try_sum(F.when(usable & kept, revenue)), F.lit(0)).alias("realized_revenue"),
     )

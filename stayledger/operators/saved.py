@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.operators.marts import build_mart
-from stayledger.session import new_path
+from stayledger.session import remove_folder
 
 
 @dataclass(frozen=True)
@@ -44,33 +45,54 @@ def _drop(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP {kind} IF EXISTS {name}")
 
 
-def save_aggregate(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+def _location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a stored table of that name."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY"):
+        return None
+    said = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return said["data_type"] if said else None
+
+
+def save_aggregate(
+    df: DataFrame, name: str, keys: list[str], buckets: int, warehouse: str | None = None
+) -> DataFrame:
     """Store ``df`` as a table hash-distributed by ``keys`` and return a scan of it.
 
-    Each refresh writes a new folder under the shared working folder. The name
+    Each refresh writes a folder of its own in ``warehouse`` (by default the
+    session's warehouse folder, not the folder for intermediate data). The name
     is switched over once the write has succeeded, so readers keep the previous
-    content until then and a failed refresh loses nothing.
+    content until then and a failed refresh loses nothing; then the previous
+    folder is removed. Refreshes at the same time do not share a name.
     """
     spark = df.sparkSession
-    fresh = f"{name}__refresh"
-    _drop(spark, fresh)
+    folder = (warehouse or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    run = uuid.uuid4().hex
+    fresh = f"{name}__{run}"
+    previous = _location(spark, name)
     (
         df.repartition(buckets, *keys)
         .write.bucketBy(buckets, *keys)
         .sortBy(*keys)
         .format("parquet")
-        .option("path", new_path(spark, name))
+        .option("path", f"{folder}/{name}-{run}")
         .saveAsTable(fresh)
     )
     _drop(spark, name)
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if previous and previous.rstrip("/").rsplit("/", 1)[-1].startswith(f"{name}-"):
+        remove_folder(spark, previous)
     return spark.table(name)
 
 
-def refresh(fact: DataFrame, name: str) -> DataFrame:
+def refresh(fact: DataFrame, name: str, warehouse: str | None = None) -> DataFrame:
     """Recompute one saved aggregate from the fact and store it."""
+    return save_mart(build_mart(fact, SAVED[name].mart), name, warehouse)
+
+
+def save_mart(mart: DataFrame, name: str, warehouse: str | None = None) -> DataFrame:
+    """Store a saved aggregate from its mart, which holds the same rows."""
     spec = SAVED[name]
-    return save_aggregate(build_mart(fact, spec.mart), name, spec.keys, spec.buckets)
+    return save_aggregate(mart, name, spec.keys, spec.buckets, warehouse)
 
 
 def reconcile(saved: DataFrame, recomputed: DataFrame, name: str) -> DataFrame:

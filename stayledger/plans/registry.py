@@ -294,6 +294,37 @@ def ingested_checks(spark: SparkSession, folder: str) -> DataFrame:
     return quality.run_validation(relations, expected_current(DATASET))
 
 
+def _star_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The star history as deliveries of three batches, one a day: a first part and a late one."""
+    day = F.make_date(F.lit(2026), F.lit(1), F.col("batch_sequence")).cast("timestamp")
+    rows = materialize(star_history(spark, folder).withColumn("batch_effective_at", day), "deliveries")
+    late = F.pmod("batch_row_number", F.lit(4)) >= 2
+    return rows.where(~late), rows.where(late)
+
+
+def _late_load(spark: SparkSession, folder: str) -> tuple[str, list[int]]:
+    """Three loads of one landing folder: at first, again, and after more files of the same batches."""
+    first, late = _star_batches(spark, folder)
+    root, history = new_path(spark, "landing"), new_path(spark, "history")
+    land_batches(first, root)
+    appended = [ingest(spark, root, history, pattern=ANY_CSV) for _ in range(2)]
+    land_batches(late, root, further=True)
+    return history, [*appended, ingest(spark, root, history, pattern=ANY_CSV)]
+
+
+def ingest_late_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per batch and load date once late files of loaded batches came in."""
+    history, _ = _late_load(spark, folder)
+    rows = read_history(spark, history)
+    return rows.groupBy("batch_id", "etl_date", "raw_batch_sequence").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def ingest_load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The row counts that three loads return."""
+    _, appended = _late_load(spark, folder)
+    return spark.createDataFrame(list(zip(["first", "again", "late"], appended)), "load string, appended long")
+
+
 def landed_files(spark: SparkSession, folder: str) -> DataFrame:
     """First-row values and row counts of the landed files, added up per batch."""
     rows = read_batch_files(spark, _landed(spark, folder))
@@ -343,7 +374,7 @@ def profile_types(spark: SparkSession, folder: str) -> DataFrame:
 
 def profile_events(spark: SparkSession, folder: str) -> DataFrame:
     """The same profile on a table that is not bookings."""
-    return column_profile(spark.read.parquet(f"{folder}/events.parquet").drop("ts", "props"))
+    return column_profile(spark.read.parquet(f"{folder}/events.parquet"))
 
 
 def profile_price(spark: SparkSession, folder: str) -> DataFrame:
@@ -396,6 +427,8 @@ def all_queries() -> dict[str, Query]:
         "absent_batches": absent_batches,
         "ingest_idempotent": ingest_idempotent,
         "ingest_forced": ingest_forced,
+        "ingest_late_files": ingest_late_files,
+        "ingest_load_counts": ingest_load_counts,
         "ingest_lineage": ingest_lineage,
         "ingest_current": ingested_current,
         "ingest_hotel_mart": ingested_hotel_mart,

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.operators.history import current_state, dedupe_exact, stage
-from stayledger.operators.marts import DIMENSIONS, MARTS, build_dimension, build_mart
+from stayledger.operators.marts import DIMENSIONS, MARTS, OF_MART, build_dimension, build_mart, of_mart
 from stayledger.operators.metrics import booking_metrics, fact_bookings
-from stayledger.operators.saved import SAVED, refresh
+from stayledger.operators.saved import SAVED, save_mart
 from stayledger.schema import SOURCE_COLUMNS
 from stayledger.session import materialize_all
 
@@ -48,7 +48,7 @@ def plan_warehouse(history: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build_warehouse(history: DataFrame) -> dict[str, DataFrame]:
+def build_warehouse(history: DataFrame, warehouse: str | None = None) -> dict[str, DataFrame]:
     """The same relations with every shared step done once and stored.
 
     Written to the working folder are: the staged rows without their 32 source
@@ -56,7 +56,9 @@ def build_warehouse(history: DataFrame) -> dict[str, DataFrame]:
     the current bookings (one run of both windows), and the dimensions and
     marts, which hold one row per member or group, so that charts and checks do
     not scan bookings again. The fact is a column selection of the current
-    bookings. The saved aggregates are refreshed from it.
+    bookings. Dimensions that are the keys of a mart, and the saved aggregates,
+    are taken from the stored marts, so bookings are scanned once for each mart
+    and for the two dimensions left. Saved aggregates go to ``warehouse``.
     """
     staged = stage(history)
     base = materialize_all(
@@ -68,17 +70,35 @@ def build_warehouse(history: DataFrame) -> dict[str, DataFrame]:
     metrics = booking_metrics(base["current_bookings"])
     serving = serving_relations(metrics)
     fact = serving.pop("fact_bookings")
+    stored = materialize_all({name: df for name, df in serving.items() if name not in OF_MART})
+    stored |= materialize_all({name: of_mart(stored, name) for name in OF_MART})
     return {
         "staged_history": base["staged_history"],
         "deduped_history": dedupe_exact(base["staged_history"]),
         "current_bookings": base["current_bookings"],
         "booking_metrics": metrics,
         "fact_bookings": fact,
-        **materialize_all(serving),
-        **{name: refresh(fact, name) for name in SAVED},
+        **{name: stored[name] for name in serving},
+        **{name: save_mart(stored[spec.mart], name, warehouse) for name, spec in SAVED.items()},
     }
 
 
+#: What of a build is kept as tables of the warehouse.
+PUBLISHED = ["current_bookings", "booking_metrics", "fact_bookings", *DIMENSIONS, *MARTS]
+
+
+def store_warehouse(relations: dict[str, DataFrame], warehouse: str) -> None:
+    """Write the relations to ``<warehouse>/<name>``, where any later session finds them."""
+    for name in PUBLISHED:
+        relations[name].write.mode("overwrite").parquet(f"{warehouse.rstrip('/')}/{name}")
+
+
+def open_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """The relations that ``store_warehouse`` wrote; marts also under the saved aggregates' names."""
+    found = {name: spark.read.parquet(f"{warehouse.rstrip('/')}/{name}") for name in PUBLISHED}
+    return found | {name: found[spec.mart] for name, spec in SAVED.items()}
+
+
 def publish(relations: dict[str, DataFrame], names: dict[str, str] | None = None) -> None:
     """Make relations queryable with ``spark.sql`` under their own or the given names.
 

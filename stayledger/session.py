@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="stayledger-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stayledger-warehouse-"))
     )
     for key, value in {**COMPILED_METHOD_LIMIT, **conf}.items():
         builder = builder.config(key, value)
@@ -73,9 +75,33 @@ def work_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: The folder that a running job's intermediate tables share, see ``scratch``.
+_job_folder: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the working folder that no other run uses."""
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = _job_folder[-1] if _job_folder else work_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables made inside stand in one folder, which is removed at the end.
+
+    For a job that keeps its results elsewhere; one job at a time in a process.
+    """
+    _job_folder.append(new_path(spark, "job"))
+    try:
+        yield _job_folder[-1]
+    finally:
+        remove_folder(spark, _job_folder.pop())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -90,6 +116,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Give a session the settings that it does not have by its own start."""
+    have = {key for key, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in conf.items():
+        if key not in have and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def materialize_all(frames: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
     """Write independent results as tables, several jobs at a time so that the
     last tasks of one do not leave the cluster idle."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayledger.functions.cleaning import parse_effective_at
+from stayledger.functions.cleaning import at_least, parse_effective_at
 from stayledger.functions.hashing import row_ingestion_id
 from stayledger.schema import BATCH_COLUMNS, BATCH_FILE_SCHEMA, HISTORY_COLUMNS, SOURCE_COLUMNS
 from stayledger.session import broadcast_if_small
@@ -24,13 +24,13 @@ def _batch_of(path: Column) -> Column:
     return F.when(landed != "", landed).otherwise(F.regexp_extract(path, LAST_NAME, 1))
 
 
-def list_batch_files(spark: SparkSession, root: str, pattern: str = BATCH_GLOB) -> DataFrame:
-    """One row per batch file: path, name, bytes and batch id. Contents are not read."""
-    files = (
+def batch_files(spark: SparkSession, at: str | list[str], pattern: str = ANY_CSV) -> DataFrame:
+    """One row per file: path, name, bytes and batch id. Contents are not read."""
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(at)
         .select(
             "path",
             F.col("_metadata.file_path").alias("source_object_path"),
@@ -39,6 +39,11 @@ def list_batch_files(spark: SparkSession, root: str, pattern: str = BATCH_GLOB)
             _batch_of(F.col("path")).alias("batch_id"),
         )
     )
+
+
+def list_batch_files(spark: SparkSession, root: str, pattern: str = BATCH_GLOB) -> DataFrame:
+    """The batch files under a folder; it is an error if there are none."""
+    files = batch_files(spark, root, pattern)
     if files.isEmpty():
         raise FileNotFoundError(f"no {pattern} under {root}")
     return files
@@ -89,7 +94,7 @@ def _load_time(sequence: Column, effective: Column) -> dict[str, Column]:
         "etl_month": F.month(effective),
         "etl_day": F.dayofmonth(effective),
         "etl_date": F.date_format(effective, "yyyyMMdd"),
-        "raw_batch_sequence": F.lpad(sequence.cast("string"), 3, "0"),
+        "raw_batch_sequence": at_least(sequence.cast("string"), 3),
     }
 
 
@@ -162,12 +167,13 @@ def batch_file_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def land_batches(rows: DataFrame, root: str) -> None:
+def land_batches(rows: DataFrame, root: str, further: bool = False) -> None:
     """Write batch rows to the raw landing layout.
 
     ``etl_year=/etl_month=/etl_day=/raw_batch_sequence=/batch_file=<batch>.csv/``:
     the last level is a directory, so a large batch is written by many tasks.
-    Landing a batch again replaces that batch only.
+    Landing a batch again replaces that batch only, unless the rows are
+    ``further`` files of it.
     """
     text = {c: F.col(c).cast("string") for c in BATCH_COLUMNS}
     text["batch_effective_at"] = F.coalesce(
@@ -180,7 +186,7 @@ def land_batches(rows: DataFrame, root: str) -> None:
         "etl_year": F.date_format(effective, "yyyy"),
         "etl_month": F.date_format(effective, "MM"),
         "etl_day": F.date_format(effective, "dd"),
-        "raw_batch_sequence": F.lpad("batch_sequence", 3, "0"),
+        "raw_batch_sequence": at_least(F.col("batch_sequence"), 3),
         "batch_file": F.concat(F.col("batch_id"), F.lit(".csv")),
     }
     (
@@ -191,6 +197,6 @@ def land_batches(rows: DataFrame, root: str) -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .mode("overwrite")
+        .mode("append" if further else "overwrite")
         .csv(root)
     )

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.schema import HISTORY_COLUMNS, HISTORY_PARTITION, HISTORY_SCHEMA
-from stayledger.session import broadcast_if_small, materialize
-from stayledger.sources.batches import BATCH_GLOB, history_rows, list_batch_files
+from stayledger.session import materialize
+from stayledger.sources.batches import BATCH_GLOB, history_rows, list_batch_files, read_batch_files, with_lineage
+
+_LOG = logging.getLogger(__name__)
+
+MANIFEST_SCHEMA = (
+    "source_object_path string, file_bytes long, file_hash string, batch_id string, row_count long, loaded_at timestamp"
+)
 
 
 def create_history(spark: SparkSession, path: str) -> None:
@@ -44,15 +51,21 @@ def append_history(rows: DataFrame, path: str) -> int:
     return load.get["rows"]
 
 
-def without_loaded(rows: DataFrame, path: str) -> DataFrame:
-    """Rows (or files) whose batch the history does not hold yet.
+def manifest_path(path: str) -> str:
+    """The record of loaded files stands beside the history."""
+    return f"{path.rstrip('/')}_loads"
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per loaded file: path, bytes, hash, batch, rows and load time."""
+    spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("ignore").parquet(manifest_path(path))
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(path))
 
-    One column of the history is read, once; the ids found are counted to
-    choose the join.
-    """
-    history = read_history(rows.sparkSession, path)
-    loaded = materialize(history.select("batch_id").distinct(), "loaded_batches")
-    return rows.join(broadcast_if_small(loaded, rows=loaded.count()), "batch_id", "left_anti")
+
+def without_loaded(files: DataFrame, path: str) -> DataFrame:
+    """Files that the manifest does not list. The history itself is not read."""
+    known = read_manifest(files.sparkSession, path).select("source_object_path")
+    return files.join(known, "source_object_path", "left_anti")
 
 
 def ingest(
@@ -60,26 +73,87 @@ def ingest(
 ) -> int:
     """Load all batch files under ``root`` into the history; returns rows appended.
 
-    A batch that is already there is skipped, before its file is read, unless
-    ``force``. One write job loads all remaining files.
+    A file that was loaded is skipped unless ``force``; a further file of a
+    loaded batch is loaded. One write job loads all remaining files.
     """
-    started = datetime.now(timezone.utc)
     create_history(spark, path)
-    files = list_batch_files(spark, root, pattern)
-    pending = files if force else without_loaded(files, path)
+    return load_files(list_batch_files(spark, root, pattern), path, force)
+
+
+def load_files(files: DataFrame, path: str, force: bool = False) -> int:
+    """Load listed files; see ``ingest``.
+
+    Files are counted, and their batch columns read, before anything is
+    written, so an unreadable or empty file leaves the table as it was. Then the
+    rows that arrived are compared with that count, file by file, in the load
+    dates just written. A run that ended between the commit of its rows and of
+    its record is completed, not repeated.
+    """
+    spark = files.sparkSession
+    started = datetime.now(timezone.utc)
+    known = read_manifest(spark, path)
+    if not force:
+        sizes = known.select("source_object_path", F.col("file_bytes").alias("loaded_bytes"))
+        changed = files.join(sizes, "source_object_path").where("file_bytes <> loaded_bytes")
+        _refuse(changed, "files changed since they were loaded")
+    pending = materialize(files if force else without_loaded(files, path), "pending_files")
     # Only the file listing comes to the driver, where a scan's listing is held anyway.
     paths = [row["path"] for row in pending.select("path").collect()]
     if not paths:
         return 0
-    appended = append_history(history_rows(spark, paths), path)
-    # Row groups of earlier loads are skipped by their load-time statistics.
-    this_load = read_history(spark, path).where(F.col("ingested_at") >= F.lit(started))
-    empty = files_without_rows(pending, this_load).select("source_file_name").take(5)
-    if empty:
-        raise ValueError(f"batch files without data rows: {[row[0] for row in empty]}")
+    counts = materialize(
+        with_lineage(read_batch_files(spark, paths))
+        .groupBy("source_object_path", "batch_id", "etl_date")
+        .agg(F.count(F.lit(1)).alias("row_count")),
+        "pending_rows",
+    )
+    _refuse(files_without_rows(pending, counts), "batch files without data rows")
+    again = counts.select("batch_id").distinct().join(known.select("batch_id"), "batch_id", "left_semi")
+    if names := [row[0] for row in again.take(5)]:
+        _LOG.warning("further files of batches that are loaded: %s", names)
+    expected = counts.groupBy("source_object_path").agg(F.sum("row_count").alias("expected_rows"))
+    dates = [row[0] for row in counts.select("etl_date").distinct().collect()]
+
+    def arrived() -> DataFrame:
+        rows = read_history(spark, path).where(F.col("etl_date").isin(dates))
+        return rows if not force else rows.where(F.col("ingested_at") >= F.lit(started))
+
+    found = _arrivals(arrived(), expected)
+    _refuse(found.where("rows_found <> expected_rows"), "files loaded in part by an earlier run")
+    found = materialize(found, "found_files")
+    appended = 0
+    fresh = pending.join(found, "source_object_path", "left_anti")
+    if paths := [row["path"] for row in fresh.select("path").collect()]:
+        appended = append_history(history_rows(spark, paths), path)
+        loaded = _arrivals(arrived(), expected)
+        short = expected.join(loaded.drop("expected_rows"), "source_object_path", "left")
+        _refuse(short.where("rows_found IS NULL OR rows_found <> expected_rows"), "rows missing after the load")
+        found = loaded
+    record = found.join(pending.select("source_object_path", "file_bytes"), "source_object_path").select(
+        "source_object_path",
+        "file_bytes",
+        "file_hash",
+        "batch_id",
+        F.col("rows_found").alias("row_count"),
+        F.current_timestamp().alias("loaded_at"),
+    )
+    record.write.mode("append").parquet(manifest_path(path))
     return appended
 
 
+def _arrivals(rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """Rows, batch and hash of the expected files that the history rows have."""
+    per_file = rows.groupBy("source_object_path").agg(
+        F.count(F.lit(1)).alias("rows_found"), F.min("batch_id").alias("batch_id"), F.min("file_hash").alias("file_hash")
+    )
+    return per_file.join(expected, "source_object_path")
+
+
+def _refuse(files: DataFrame, why: str) -> None:
+    if bad := files.select("source_object_path").take(5):
+        raise ValueError(f"{why}: {[row[0].rsplit('/', 1)[-1] for row in bad]}")
+
+
 def files_without_rows(files: DataFrame, history: DataFrame) -> DataFrame:
     """Listed files that left no row in the history."""
     landed = history.select("source_object_path").distinct()

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayledger.functions.cleaning import at_least
 from stayledger.functions.hashing import row_ingestion_id
 from stayledger.schema import HISTORY_COLUMNS, HISTORY_SCHEMA, SOURCE_COLUMNS
 
@@ -125,7 +126,7 @@ def star_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             "original_source_row_number": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
             "booking_key": F.concat_ws(":", F.lit(DATASET), F.col("l_orderkey"), F.col("l_linenumber")),
             "batch_sequence": sequence,
-            "batch_id": F.concat(F.lit("batch_"), F.lpad(sequence.cast("string"), 3, "0")),
+            "batch_id": F.concat(F.lit("batch_"), at_least(sequence.cast("string"), 3)),
             "batch_effective_at": F.col("ship_day").cast("timestamp"),
             "batch_row_number": (F.col("l_partkey") * 100000 + F.col("l_suppkey")) * 2 + F.col("delivery"),
             "ingested_at": F.col("ship_day").cast("timestamp"),

@@ -1,9 +1,9 @@
 """Load newly landed batch files once each, then stop.
 
 The stream's checkpoint remembers which files were read, so a scheduled run
-does not list the history to find what is new. The rule that a loaded batch is
-skipped stays: a run that was cut off after its append and is repeated adds
-nothing.
+does not list the landing folder's past to find what is new. The rule that a
+loaded file is skipped stays: a run that was cut off after its append and is
+repeated adds nothing.
 """
 
 from __future__ import annotations
@@ -11,20 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayledger.schema import BATCH_FILE_SCHEMA, HISTORY_COLUMNS
-from stayledger.session import broadcast_if_small
-from stayledger.sources.batches import BATCH_GLOB, file_hashes, with_lineage
-from stayledger.sources.history import append_history, create_history, without_loaded
+from stayledger.sources.batches import BATCH_GLOB, batch_files
+from stayledger.sources.history import create_history, load_files
 
 
-def _append_new(rows: DataFrame, path: str) -> None:
-    spark = rows.sparkSession
-    fresh = without_loaded(rows, path)
+def _load_new(names: DataFrame, path: str) -> None:
     # The file names of one run; the stream's own log holds the same list.
-    files = [r[0] for r in rows.select("source_object_path").distinct().collect()]
-    if files:
-        hashes = broadcast_if_small(file_hashes(spark, files), rows=len(files))
-        append_history(fresh.join(hashes, "source_object_path", "left").select(*HISTORY_COLUMNS), path)
+    paths = [row[0] for row in names.distinct().collect()]
+    if paths:
+        load_files(batch_files(names.sparkSession, paths), path)
 
 
 def ingest_available(
@@ -32,19 +27,16 @@ def ingest_available(
 ) -> None:
     """Append all files under ``root`` that earlier runs with this checkpoint have not read."""
     create_history(spark, path)
-    rows = (
-        spark.readStream.schema(BATCH_FILE_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
+    # As whole lines: an empty CSV file, which has a header only, is noticed too.
+    names = (
+        spark.readStream.format("text")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .csv(root)
+        .load(root)
+        .select(F.col("_metadata.file_path").alias("source_object_path"))
     )
     query = (
-        with_lineage(rows)
-        .withColumn("ingested_at", F.current_timestamp())
-        .writeStream.foreachBatch(lambda batch, _: _append_new(batch, path))
+        names.writeStream.foreachBatch(lambda batch, _: _load_new(batch, path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

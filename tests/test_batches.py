@@ -227,6 +227,55 @@ def test_file_without_rows_is_an_error(spark, tmp_path):
         H.ingest(spark, str(tmp_path), new_path(spark, "history"))
 
 
+def test_empty_file_among_good_ones_leaves_the_table_as_it_was(spark, tmp_path):
+    path = new_path(spark, "history")
+    _write(tmp_path / "batch_a.csv", [_batch_row(batch_id="batch_a")])
+    assert H.ingest(spark, str(tmp_path), path) == 1
+    _write(tmp_path / "batch_b.csv", [_batch_row(batch_id="batch_b")])
+    _write(tmp_path / "batch_c.csv", [])
+    with pytest.raises(ValueError, match="without data rows"):
+        H.ingest(spark, str(tmp_path), path)
+    assert H.read_history(spark, path).count() == 1 and H.read_manifest(spark, path).count() == 1
+    (tmp_path / "batch_c.csv").unlink()
+    assert H.ingest(spark, str(tmp_path), path) == 1
+
+
+def test_further_file_of_a_batch_is_loaded_and_a_changed_one_refused(spark, tmp_path):
+    path = new_path(spark, "history")
+    _write(tmp_path / "batch_a.csv", [_batch_row(batch_id="batch_a")])
+    assert H.ingest(spark, str(tmp_path), path) == 1
+    _write(tmp_path / "batch_a2.csv", [_batch_row(batch_id="batch_a", booking_key=f"d:{k}") for k in (2, 3)])
+    assert H.ingest(spark, str(tmp_path), path) == 2
+    assert H.batch_counts(H.read_history(spark, path)).first()[1] == 3
+    record = {r.source_object_path.rsplit("/", 1)[-1]: r for r in H.read_manifest(spark, path).collect()}
+    second = record["batch_a2.csv"]
+    assert (second.row_count, second.batch_id) == (2, "batch_a")
+    assert second.file_hash == hashlib.sha256((tmp_path / "batch_a2.csv").read_bytes()).hexdigest()
+    _write(tmp_path / "batch_a.csv", [_batch_row(batch_id="batch_a", hotel="another one")])
+    with pytest.raises(ValueError, match="changed since"):
+        H.ingest(spark, str(tmp_path), path)
+
+
+def test_load_that_lost_its_record_is_completed_not_repeated(spark, tmp_path):
+    path = new_path(spark, "history")
+    _write(tmp_path / "batch_a.csv", [_batch_row(batch_id="batch_a")])
+    files = B.list_batch_files(spark, str(tmp_path))
+    H.create_history(spark, path)
+    H.append_history(B.history_rows(spark, [r.path for r in files.collect()]), path)  # and then the run ended
+    assert H.ingest(spark, str(tmp_path), path) == 0
+    assert H.read_history(spark, path).count() == 1 and H.read_manifest(spark, path).count() == 1
+
+
+@pytest.mark.parametrize("sequence", ["999", "1000", "12345"])
+def test_long_batch_sequences_stay_whole(spark, tmp_path, sequence):
+    _write(tmp_path / "batch_a.csv", [_batch_row(batch_sequence=sequence)])
+    path = new_path(spark, "history")
+    H.ingest(spark, str(tmp_path), path)
+    rows = H.read_history(spark, path)
+    assert rows.first().raw_batch_sequence == sequence
+    assert stage(rows.withColumn("raw_batch_sequence", F.lit(None).cast("string"))).first().raw_batch_sequence == sequence
+
+
 def test_batch_id_falls_back_to_file_stem_and_quotes_survive(spark, tmp_path):
     _write(tmp_path / "batch_y.csv", [_batch_row(batch_id="", hotel='The "Old", Inn', batch_effective_at="2026-01-01T10:00:00")])
     path = new_path(spark, "history")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import csv
+from pathlib import Path
 
 from rows import source_row
 from stayledger.__main__ import main
 from stayledger.operators.charts import CHARTS, chart_query
-from stayledger.plans.warehouse import build_warehouse, publish
+from stayledger.plans.warehouse import build_warehouse, open_warehouse, publish
 from stayledger.schema import BATCH_COLUMNS, SOURCE_COLUMNS
 from stayledger.session import new_path
 from stayledger.sources.history import read_history
@@ -31,18 +32,29 @@ def test_jobs(spark, tmp_path, capsys):
     assert "appended 9 rows" in capsys.readouterr().out
     assert main(["ingest", str(tmp_path), history]) == 0
     assert "appended 0 rows" in capsys.readouterr().out
-    assert main(["build", history]) == 0
+    assert main(["build", history, new_path(spark, "warehouse")]) == 0
     assert main(["profile", str(tmp_path)]) == 0
     assert "mean_price" in capsys.readouterr().out
 
 
+def test_built_tables_are_found_by_another_session(spark, tmp_path):
+    _batch(tmp_path, 9)
+    history, warehouse = new_path(spark, "history"), new_path(spark, "warehouse")
+    main(["ingest", str(tmp_path), history])
+    assert main(["build", history, warehouse]) == 0
+    found = open_warehouse(spark.newSession(), warehouse)
+    assert found["fact_bookings"].count() == 9
+    assert found["saved_hotel"].agg({"bookings": "sum"}).first()[0] == 9
+    assert not [p for p in Path(spark.sparkContext.getConf().get("spark.checkpoint.dir")).glob("job-*")]
+
+
 def test_build_reports_errors(spark, tmp_path):
     _batch(tmp_path, 3)
     text = (tmp_path / "batch_001_initial.csv").read_text().replace("March", "Marsh")
     (tmp_path / "batch_001_initial.csv").write_text(text)
     history = new_path(spark, "history")
     main(["ingest", str(tmp_path), history])
-    assert main(["build", history]) == 1
+    assert main(["build", history, new_path(spark, "warehouse")]) == 1
 
 
 def test_sql_over_published_relations(spark, tmp_path):
