@@ -6,7 +6,7 @@ sparse random index vector of +1 and -1. The vector of a bucket is the sum of th
 vectors of its neighbours, two on either side, over the whole corpus: tasks sum their part
 and Spark adds the parts block by block. A document is pooled as mean and spread of its
 tokens' vectors and the share of each shape. The network (numpy, two layers) is fitted on a
-bounded sample of labelled documents, ``SAMPLE`` at most, chosen by hash; part of it sets the
+bounded sample of labelled documents, about ``SAMPLE`` at most, chosen by hash; part of it sets the
 temperature that calibrates the probabilities.
 
 The table of vectors has ``BUCKETS * DIMENSIONS`` numbers whatever the corpus, so it may be
@@ -255,8 +255,11 @@ def fit(pooled_docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"):
     marks = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy(F.col("doc_id").alias("_q_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("_q_y"))
     known = pooled_docs.join(marks, F.col(id_col) == F.col("_q_id")).select("_q_id", "_q_vector", "_q_y")
-    rank = F.xxhash64("_q_id")
-    rows = known.orderBy(rank, "_q_id", "_q_vector").limit(SAMPLE).collect()
+    lot = F.pmod(F.xxhash64("_q_id"), F.lit(1 << 20))
+    n = known.count()
+    if n > SAMPLE:  # by hash on the executors; the driver gets about as many as it may
+        known = known.where(lot < int((1 << 20) * SAMPLE / n))
+    rows = sorted(known.collect(), key=lambda r: (r["_q_id"], r["_q_vector"]))[:SAMPLE]
     y = np.array([r["_q_y"] for r in rows], float)
     if len(rows) < 10 or y.min() == y.max():
         return Constant((y.sum() + 1) / (len(y) + 2))
