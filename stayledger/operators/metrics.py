@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.functions import buckets
-from stayledger.schema import FACT_COLUMNS
+from stayledger.schema import FACT_COLUMNS, METRIC_COLUMNS
 
 #: Measures whose missing value counts as zero.
 ZERO_DEFAULT = [
@@ -20,65 +20,6 @@ ZERO_DEFAULT = [
     "lead_time",
 ]
 
-#: Columns of the metrics relation, in order.
-METRIC_COLUMNS = [
-    "booking_key",
-    "booking_id",
-    "source_dataset",
-    "original_source_row_number",
-    "current_batch_id",
-    "current_batch_sequence",
-    "etl_year",
-    "etl_month",
-    "etl_day",
-    "etl_date",
-    "raw_batch_sequence",
-    "record_hash",
-    "hotel",
-    "arrival_date",
-    "arrival_date_year",
-    "arrival_month_number",
-    "arrival_date_month",
-    "arrival_date_week_number",
-    "arrival_date_day_of_month",
-    "country",
-    "market_segment",
-    "distribution_channel",
-    "reserved_room_type",
-    "assigned_room_type",
-    "customer_type",
-    "deposit_type",
-    "reservation_status",
-    "reservation_status_date",
-    "meal",
-    "agent",
-    "company",
-    "is_repeated_guest",
-    "previous_cancellations",
-    "previous_bookings_not_canceled",
-    "booking_changes",
-    "days_in_waiting_list",
-    "required_car_parking_spaces",
-    "total_of_special_requests",
-    "is_cancelled",
-    "lead_time",
-    "total_nights",
-    "adults",
-    "children",
-    "babies",
-    "total_guests",
-    "source_adr",
-    "has_negative_adr",
-    "adr",
-    "estimated_revenue",
-    "realized_revenue",
-    "lead_time_bucket",
-    "stay_length_bucket",
-    "guest_type",
-    "source_file",
-    "loaded_at",
-]
-
 
 def _or_zero(name: str):
     return F.coalesce(F.col(name), F.lit(0))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Names and order of the public booking data set's columns, of
-# the batch-file columns and of the history table. They must match the files.
+# Names and order of the columns of the public booking data set,
+# the metrics relation, the fact, the batch files and the history table. They
+# must match the files and the published tables.
 # ---------------------------------------------------------------------------
 SOURCE_COLUMNS = [
     "hotel",
@@ -43,6 +44,100 @@ SOURCE_COLUMNS = [
     "reservation_status_date",
 ]
 
+# Columns of the metrics relation, in order.
+METRIC_COLUMNS = [
+    "booking_key",
+    "booking_id",
+    "source_dataset",
+    "original_source_row_number",
+    "current_batch_id",
+    "current_batch_sequence",
+    "etl_year",
+    "etl_month",
+    "etl_day",
+    "etl_date",
+    "raw_batch_sequence",
+    "record_hash",
+    "hotel",
+    "arrival_date",
+    "arrival_date_year",
+    "arrival_month_number",
+    "arrival_date_month",
+    "arrival_date_week_number",
+    "arrival_date_day_of_month",
+    "country",
+    "market_segment",
+    "distribution_channel",
+    "reserved_room_type",
+    "assigned_room_type",
+    "customer_type",
+    "deposit_type",
+    "reservation_status",
+    "reservation_status_date",
+    "meal",
+    "agent",
+    "company",
+    "is_repeated_guest",
+    "previous_cancellations",
+    "previous_bookings_not_canceled",
+    "booking_changes",
+    "days_in_waiting_list",
+    "required_car_parking_spaces",
+    "total_of_special_requests",
+    "is_cancelled",
+    "lead_time",
+    "total_nights",
+    "adults",
+    "children",
+    "babies",
+    "total_guests",
+    "source_adr",
+    "has_negative_adr",
+    "adr",
+    "estimated_revenue",
+    "realized_revenue",
+    "lead_time_bucket",
+    "stay_length_bucket",
+    "guest_type",
+    "source_file",
+    "loaded_at",
+]
+
+# Columns the booking fact publishes, in order.
+FACT_COLUMNS = [
+    "booking_key",
+    "booking_id",
+    "source_dataset",
+    "original_source_row_number",
+    "current_batch_id",
+    "current_batch_sequence",
+    "record_hash",
+    "arrival_date",
+    "hotel",
+    "country",
+    "market_segment",
+    "distribution_channel",
+    "reserved_room_type",
+    "assigned_room_type",
+    "customer_type",
+    "deposit_type",
+    "total_nights",
+    "total_guests",
+    "adr",
+    "estimated_revenue",
+    "realized_revenue",
+    "is_cancelled",
+    "lead_time",
+    "lead_time_bucket",
+    "stay_length_bucket",
+    "guest_type",
+    "reservation_status",
+    "reservation_status_date",
+    "has_negative_adr",
+    "source_file",
+    "loaded_at",
+]
+
 BATCH_COLUMNS = [
     "source_dataset",
     "original_source_row_number",
@@ -131,38 +226,3 @@ HISTORY_SCHEMA = T.StructType(
     [T.StructField(name, kind, True) for name, kind in HISTORY_TECHNICAL.items()]
     + all_strings(SOURCE_COLUMNS).fields
 )
-
-#: Columns the booking fact publishes, in order.
-FACT_COLUMNS = [
-    "booking_key",
-    "booking_id",
-    "source_dataset",
-    "original_source_row_number",
-    "current_batch_id",
-    "current_batch_sequence",
-    "record_hash",
-    "arrival_date",
-    "hotel",
-    "country",
-    "market_segment",
-    "distribution_channel",
-    "reserved_room_type",
-    "assigned_room_type",
-    "customer_type",
-    "deposit_type",
-    "total_nights",
-    "total_guests",
-    "adr",
-    "estimated_revenue",
-    "realized_revenue",
-    "is_cancelled",
-    "lead_time",
-    "lead_time_bucket",
-    "stay_length_bucket",
-    "guest_type",
-    "reservation_status",
-    "reservation_status_date",
-    "has_negative_adr",
-    "source_file",
-    "loaded_at",
-]
