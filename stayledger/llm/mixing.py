@@ -47,7 +47,8 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP) ->
 
     The table has one row per source; it is ordered as a whole, so memory grows with the
     number of sources only. Sources in order of cap by weight: one is capped while its cap is
-    within its share of what is left, after that none is.
+    within its share of what is left. From the first that is not, none is, and all of those
+    share what was left there.
     """
     in_order = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
     place = (F.row_number().over(in_order) - 1) % len(weights)
@@ -68,9 +69,17 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, share=SHARE, cap=CAP) ->
             "_weights": F.sum("weight").over(after),
         }
     )
-    fair = (F.col("_left") * F.col("weight")).cast("double") / (F.col("_weights") * under).cast("double")
-    target = F.when(F.col("_cap") <= fair, F.col("_cap").cast("double")).otherwise(fair)
-    return ranked.withColumn("target", target).drop("_cap", "_left", "_weights")
+
+    def fair(left, weights):
+        return (left * F.col("weight")).cast("double") / (weights * under).cast("double")
+
+    over_cap = F.col("_cap") <= fair(F.col("_left"), F.col("_weights"))
+    rest = F.when(~over_cap, F.struct("_left", "_weights"))
+    so_far = by_cap.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = ranked.withColumn("_rest", F.first(rest, ignorenulls=True).over(so_far))
+    shared = fair(F.col("_rest._left"), F.col("_rest._weights"))
+    target = F.when(F.col("_rest").isNull(), F.col("_cap").cast("double")).otherwise(shared)
+    return ranked.withColumn("target", target).drop("_cap", "_left", "_weights", "_rest")
 
 
 def _choose(narrow: DataFrame, **how) -> tuple[DataFrame, int, int]:

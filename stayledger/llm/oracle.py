@@ -22,7 +22,14 @@ left_over AS (
 shared AS (
   SELECT *, (twice_left * weight)::DOUBLE / (weights * 2)::DOUBLE AS fair FROM left_over),
 targets AS (
-  SELECT source, source_size, CASE WHEN cap <= fair THEN cap::DOUBLE ELSE fair END AS target FROM shared),
+  -- capped: whatever stands before the first source whose share is under its cap
+  SELECT s.source, s.source_size,
+    CASE WHEN f.place IS NULL OR s.cap::DOUBLE / s.weight < f.place THEN s.cap::DOUBLE
+         WHEN s.cap::DOUBLE / s.weight = f.place AND s.cap <= s.fair THEN s.cap::DOUBLE
+         ELSE (f.twice_left * s.weight)::DOUBLE / (f.weights * 2)::DOUBLE END AS target
+  FROM shared s LEFT JOIN (
+    SELECT cap::DOUBLE / weight AS place, twice_left, weights FROM shared WHERE cap > fair
+    ORDER BY cap::DOUBLE / weight, source IS NULL, encode(source) LIMIT 1) f ON true),
 rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets),
 draws AS (

@@ -51,6 +51,31 @@ def test_targets(spark):
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
     # a and b stop at twice their size; c has what is left; an empty source has nothing
     assert got == {"a": 200.0, "b": 20.0, "c": 1445.0, None: 0.0}
+    # one is capped, the others share the rest by weight
+    sizes = spark.createDataFrame([("a", 100), ("b", 1000), ("c", 1000), ("d", 0)], sizes.schema)
+    got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
+    assert got == {"a": 200.0, "b": pytest.approx(2950 * 2 / 3), "c": pytest.approx(2950 / 3), "d": 0.0}
+
+
+def test_targets_by_resharing(spark):
+    """The closed form against resharing the excess in turns."""
+    rng = random.Random(7)
+    for _ in range(12):
+        sizes = [(f"s{k:02d}", rng.choice([0, 1, 10, 100, 1000]) * rng.randrange(1, 9)) for k in range(rng.randrange(1, 9))]
+        weight = {s: mixing.WEIGHTS[k % 3] for k, (s, _) in enumerate(sizes)}
+        total = 1.5 * sum(n for _, n in sizes)
+        target, full = {}, {}
+        while True:
+            free = [s for s, _ in sizes if s not in full]
+            left = total - sum(full.values())
+            target = full | {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+            above = {s: 2.0 * n for s, n in sizes if s not in full and target[s] > 2 * n}
+            if not above:
+                break
+            full |= above
+        frame = spark.createDataFrame(sizes, "source string, source_size long")
+        got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
+        assert got == {s: pytest.approx(target[s]) for s in target}
 
 
 def page_rows():
