@@ -5,8 +5,9 @@
 2. Links need 80 of 100 shingles in common, so the lowest fifth of two linked sets (by hash)
    shares one, and the lowest 35 of 100 share about 15. Sets announce these; a set that shares
    too few of them with others can have no link and stops.
-3. The rest meet in clusters: sets in the same size band (or the next) that share one of their
-   lowest fifth, directly or through others. No link crosses clusters.
+3. The rest stand in their size band and the next. There the count is taken again, against what
+   is left of the band. Sets of a band that share one of their lowest fifth, directly or through
+   others, are a cluster. No link crosses clusters.
 4. In a cluster a signature tree is built: sets in order of their least hashes, nodes with the
    OR of their members' token bitmaps and their range of sizes. The tree is traversed against
    itself; a pair of nodes is left out when the greatest overlap that bitmaps and sizes allow
@@ -49,7 +50,9 @@ SHINGLE = 5
 PER_CENT = 80
 #: Part of a set that is announced beyond the fifth in which linked sets must share a token.
 SURPLUS = 15
+#: A block holds about so many shingles and so many sets at most.
 BLOCK_SHINGLES = 1 << 20
+BLOCK_SETS = 1 << 11
 PIVOTS = 16
 FAN_OUT = 8
 BAND = 1.25
@@ -91,14 +94,14 @@ def _announced_part(own: np.ndarray) -> np.ndarray:
     return own[: min(len(own), _lowest(len(own)) + SURPLUS * len(own) // 100)]
 
 
-def sets_of(rows: DataFrame) -> DataFrame:
+def sets_of(rows: DataFrame, make=shingle_sets) -> DataFrame:
     """(doc, n, set_id, last) by document; ``last`` is the greatest of the lowest fifth, as signed."""
 
     def run(batches):
         for batch in batches:
             out = {"doc": batch.column("doc"), "n": [], "set_id": [], "last": []}
             for _, data, offsets in chunks(batch.column("text")):
-                for own in shingle_sets(data, offsets):
+                for own in make(data, offsets):
                     out["n"].append(len(own))
                     out["set_id"].append(_set_id(own))
                     out["last"].append(int(own[_lowest(len(own)) - 1].astype(np.int64)) if len(own) else 0)
@@ -112,7 +115,25 @@ def code_shift(code_parts: int) -> np.uint64:
     return np.uint64(32 - (code_parts.bit_length() - 1))
 
 
-def shared_tokens(rows: DataFrame, code_parts: int, text_parts: int) -> DataFrame:
+def _gather(table: pa.Table) -> pa.Table:
+    names, codes = opened(table)
+    order = np.lexsort((codes, names))
+    names, codes = names[order], codes[order]
+    fresh = np.ones(len(names), bool)
+    fresh[1:] = (names[1:] != names[:-1]) | (codes[1:] != codes[:-1])
+    names, codes = names[fresh], codes[fresh]
+    heads = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
+    ends = np.append(heads[1:], len(names))
+    return pa.table(
+        {
+            "set_id": pa.array(names[heads], pa.int64()),
+            "shared": pa.array(ends - heads, pa.int64()),
+            "codes": pa.array([pack(codes[a:b]) for a, b in zip(heads, ends)], pa.binary()),
+        }
+    )
+
+
+def shared_tokens(rows: DataFrame, code_parts: int, text_parts: int, make=shingle_sets) -> DataFrame:
     """(set_id, shared, codes): of each set, the announced tokens that other sets announce too."""
     shift = code_shift(code_parts)
 
@@ -120,7 +141,7 @@ def shared_tokens(rows: DataFrame, code_parts: int, text_parts: int) -> DataFram
         def pairs():
             for batch in batches:
                 for _, data, offsets in chunks(batch.column("text")):
-                    sets = [s for s in shingle_sets(data, offsets) if len(s)]
+                    sets = [s for s in make(data, offsets) if len(s)]
                     parts = [_announced_part(s) for s in sets]
                     if parts:
                         names = np.array([_set_id(s) for s in sets], np.int64)
@@ -128,25 +149,8 @@ def shared_tokens(rows: DataFrame, code_parts: int, text_parts: int) -> DataFram
 
         return announced(pairs(), code_parts, True, False)
 
-    def gather(table: pa.Table) -> pa.Table:
-        names, codes = opened(table)
-        order = np.lexsort((codes, names))
-        names, codes = names[order], codes[order]
-        fresh = np.ones(len(names), bool)
-        fresh[1:] = (names[1:] != names[:-1]) | (codes[1:] != codes[:-1])
-        names, codes = names[fresh], codes[fresh]
-        heads = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
-        ends = np.append(heads[1:], len(names))
-        return pa.table(
-            {
-                "set_id": pa.array(names[heads], pa.int64()),
-                "shared": pa.array(ends - heads, pa.int64()),
-                "codes": pa.array([pack(codes[a:b]) for a, b in zip(heads, ends)], pa.binary()),
-            }
-        )
-
     answers = shared_codes(rows.mapInArrow(announce, CODES), text_parts, code_parts, False)
-    return answers.groupBy("part").applyInArrow(gather, "set_id long, shared long, codes binary")
+    return answers.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
 
 
 def band_of(n: np.ndarray) -> np.ndarray:
@@ -158,45 +162,74 @@ def node_id(set_ids: np.ndarray, bands: np.ndarray) -> np.ndarray:
     return mix(set_ids.astype(np.uint64) ^ mix(bands.astype(np.uint64) + np.uint64(1))).astype(np.int64)
 
 
-def clusters(alive: DataFrame, code_parts: int) -> DataFrame:
-    """(set_id, n, cluster): sets that may be linked, in one or two bands each."""
+BAND_BITS = np.uint64(48)  # a code has 32 bits and those of its partition; its band stands above
+NODES = "node long, set_id long, n long, last long, need long, codes binary"
+ROUNDS = 2
+
+
+def banded(alive: DataFrame, code_parts: int) -> DataFrame:
+    """Each set in its size band and the next: two linked sets stand in one band together."""
     shift = code_shift(code_parts)
 
-    def announce(batches):
+    def run(batches):
         for batch in batches:
             names, n = batch.column("set_id").to_numpy(), batch.column("n").to_numpy()
             last = batch.column("last").to_numpy().astype(np.uint64) >> shift
-            values = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("codes")]
-            codes = np.concatenate([np.zeros(0, np.uint64), *values])
-            row = np.repeat(np.arange(len(values)), [len(v) for v in values])
-            low = codes <= last[row]
-            codes, row = codes[low], row[low]
+            codes = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("codes")]
             for step in (0, 1):
-                bands = band_of(n[row]) + step
-                nodes, keys, least, _ = by_code(node_id(names[row], bands), mix(codes ^ mix(bands.astype(np.uint64))))
-                ask = nodes == least
-                near, root = forest(nodes[~ask], least[~ask])
-                yield dealt(near, root.astype(np.uint64), near % code_parts, settled=True)
-                nodes, keys = nodes[ask], keys[ask]
-                yield dealt(nodes, keys, (keys % np.uint64(code_parts)).astype(np.int64))
+                bands = band_of(n) + step
+                above = bands.astype(np.uint64) << BAND_BITS
+                columns = [node_id(names, bands), names, n, (above | last).astype(np.int64), batch.column("need").to_numpy()]
+                packed = pa.array([pack(c | a) for c, a in zip(codes, above)], pa.binary())
+                yield pa.record_batch([*[pa.array(c, pa.int64()) for c in columns], packed], names=NODES.replace(" long", "").replace(" binary", "").split(", "))
+
+    return alive.mapInArrow(run, NODES)
+
+
+def _spread(batches, all_codes: bool = True):
+    """(node, code) of a portion of nodes; without the surplus if not all are wanted."""
+    for batch in batches:
+        values = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("codes")]
+        codes = np.concatenate([np.zeros(0, np.uint64), *values])
+        row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+        if not all_codes:
+            low = codes <= batch.column("last").to_numpy().astype(np.uint64)[row]
+            codes, row = codes[low], row[low]
+        yield batch.column("node").to_numpy()[row], codes
+
+
+def pruned(nodes: DataFrame, code_parts: int, text_parts: int) -> DataFrame:
+    """Nodes that share enough tokens with the others of their band that are left, with those tokens."""
+
+    def announce(batches):
+        return announced(_spread(batches), code_parts, False, False)
+
+    shared = shared_codes(nodes.mapInArrow(announce, CODES), text_parts, 0, False)
+    kept = shared.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
+    kept = kept.withColumnRenamed("set_id", "node").join(nodes.drop("codes"), "node").where("shared >= need")
+    return materialize(kept.select("node", "set_id", "n", "last", "need", "codes"), "jaccard_nodes")
+
+
+def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
+    """(node, set_id, n, cluster): nodes that may be linked with others."""
+
+    def announce(batches):
+        for near, codes in _spread(batches, all_codes=False):
+            own, codes, least, _ = by_code(near, codes)
+            ask = own == least
+            a, root = forest(own[~ask], least[~ask])
+            yield dealt(a, root.astype(np.uint64), a % code_parts, settled=True)
+            own, codes = own[ask], codes[ask]
+            yield dealt(own, codes, (codes % np.uint64(code_parts)).astype(np.int64))
 
     def join(table: pa.Table) -> pa.Table:
-        nodes, _, least, _ = by_code(*opened(table))
+        own, _, least, _ = by_code(*opened(table))
         near, root = opened(table, settled=True)
-        a, b = forest(np.append(nodes, near), np.append(least, root.astype(np.int64)))
+        a, b = forest(np.append(own, near), np.append(least, root.astype(np.int64)))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    joined = components(alive.mapInArrow(announce, CODES).groupBy("part").applyInArrow(join, LINKS))
-
-    def nodes(batches):
-        for batch in batches:
-            names, n = batch.column("set_id").to_numpy(), batch.column("n").to_numpy()
-            for step in (0, 1):
-                node = node_id(names, band_of(n) + step)
-                yield pa.record_batch([pa.array(names), pa.array(n), pa.array(node)], names=["set_id", "n", "node"])
-
-    placed = alive.select("set_id", "n").mapInArrow(nodes, "set_id long, n long, node long")
-    return placed.join(joined, "node").select("set_id", "n", F.col("root").alias("cluster"))
+    joined = components(nodes.mapInArrow(announce, CODES).groupBy("part").applyInArrow(join, LINKS))
+    return nodes.join(joined, "node").select("node", "set_id", "n", F.col("root").alias("cluster"))
 
 
 class SignatureTree:
@@ -228,7 +261,7 @@ class SignatureTree:
         ok = (PER_CENT * low[left] <= 100 * high[right]) & (PER_CENT * low[right] <= 100 * high[left])
         ok &= probe[left] | probe[right]
         at = np.flatnonzero(ok)
-        step = max(1, (1 << 20) // bits.shape[1])
+        step = max(1, (1 << 18) // bits.shape[1])
         for k in range(0, len(at), step):
             part = at[k : k + step]
             x, y = left[part], right[part]
@@ -256,8 +289,9 @@ class SignatureTree:
             y = np.repeat(right * FAN_OUT, FAN_OUT * FAN_OUT) + np.tile(step, FAN_OUT * len(left))
             keep = (x < below) & (y < below) & (x <= y)
             x, y = x[keep], y[keep]
-            for k in range(0, len(x), 1 << 16):
-                stack.append((level - 1, x[k : k + (1 << 16)], y[k : k + (1 << 16)]))
+            # small copies, so that what waits on the stack stays small
+            for k in range(0, len(x), 1 << 12):
+                stack.append((level - 1, x[k : k + (1 << 12)].copy(), y[k : k + (1 << 12)].copy()))
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -319,7 +353,7 @@ def _compare(placed: DataFrame, tokens: DataFrame) -> DataFrame:
     return materialize(full.groupBy("cluster", "block").applyInArrow(_block_links, LINKS), "jaccard_links")
 
 
-def tokens_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def tokens_of(rows: DataFrame, wanted: DataFrame, make=shingle_sets) -> DataFrame:
     """(set_id, tokens) of wanted (doc, set_id), stored."""
 
     def run(batches):
@@ -327,7 +361,7 @@ def tokens_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             want = batch.column("set_id").to_numpy()
             names, tokens = [], []
             for first, data, offsets in chunks(batch.column("text")):
-                for k, own in enumerate(shingle_sets(data, offsets)):
+                for k, own in enumerate(make(data, offsets)):
                     if _set_id(own) == want[first + k]:
                         names.append(want[first + k])
                         tokens.append(pack(own))
@@ -337,35 +371,46 @@ def tokens_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialize(found, "jaccard_tokens")
 
 
-def _elsewhere(alive, placed, others, code_parts) -> DataFrame:
-    """Blocks of the same cluster, beside its own, in which a set's lowest tokens occur."""
-    shift = code_shift(code_parts)
+def _elsewhere(labelled: DataFrame, nodes: DataFrame, code_parts: int) -> DataFrame:
+    """For sets outside the main component of their cluster: the other blocks of it in which one of
+    their lowest tokens occurs. Tokens travel in arrays, and what comes back is a set and a block."""
+    spot = F.xxhash64("cluster", "block")
+    full = labelled.join(nodes.select("node", "last", "codes"), "node").withColumn("spot", spot)
 
-    def spread(batches):
+    def announce(batches):
         for batch in batches:
-            last = batch.column("last").to_numpy().astype(np.uint64) >> shift
-            names, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for name, top, value in zip(batch.column("set_id").to_numpy(), last, batch.column("codes")):
-                own = np.frombuffer(value.as_buffer(), np.uint64)
-                own = own[own <= top]
-                names.append(np.full(len(own), name))
-                codes.append(own)
-            yield pa.record_batch(
-                [pa.array(np.concatenate(names)), pa.array(np.concatenate(codes).astype(np.int64))], names=["set_id", "code"]
-            )
-
-    codes = alive.mapInArrow(spread, "set_id long, code long")
-    there = placed.join(codes, "set_id").select("cluster", "code", "block").distinct()
-    asking = others.join(codes, "set_id").select("set_id", "label", "cluster", "code", F.col("block").alias("own"))
+            other = np.array(batch.column("other").to_pylist(), bool)
+            spots = batch.column("spot").to_numpy()
+            where = dict(zip(batch.column("node").to_numpy().tolist(), range(batch.num_rows)))
+            for names, codes in _spread([batch], all_codes=False):
+                row = np.array([where[x] for x in names.tolist()], np.int64)
+                parts = (codes % np.uint64(code_parts)).astype(np.int64)
+                yield dealt(spots[row], codes, parts)
+                asks = other[row]
+                yield dealt(names[asks], codes[asks], parts[asks], settled=True)
+
+    def meet(table: pa.Table) -> pa.Table:
+        spots, there, _, _ = by_code(*opened(table))
+        asking, codes, _, _ = by_code(*opened(table, settled=True))
+        lows, highs = np.searchsorted(there, codes), np.searchsorted(there, codes, "right")
+        sizes = highs - lows
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes) + np.repeat(lows, sizes)
+        a, b = np.repeat(asking, sizes), spots[at]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+        return pa.table({"node": pa.array(a[fresh], pa.int64()), "spot": pa.array(b[fresh], pa.int64())})
+
+    met = full.mapInArrow(announce, CODES).groupBy("part").applyInArrow(meet, "node long, spot long").distinct()
+    blocks = labelled.select("cluster", "block", spot.alias("spot")).distinct()
+    own = labelled.select("node", "set_id", "label", F.col("block").alias("own"))
     return (
-        asking.join(there, ["cluster", "code"])
-        .where(F.col("block") != F.col("own"))
-        .select("set_id", "cluster", "block", "label")
-        .distinct()
+        met.join(own, "node").join(blocks, "spot").where("block <> own").select("set_id", "cluster", "block", "label")
     )
 
 
-def linked_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFrame:
     """(node, root) for sets that are linked with another."""
     code_parts, text_parts = partition_counts(rows)
     first = sets.where("n > 0").groupBy("set_id").agg(
@@ -374,35 +419,39 @@ def linked_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
     # a partner has four fifths of the tokens at least; a few may share their first bits
     spare = F.floor(F.col("n") / 1000) + 1
     need = F.greatest(F.floor(F.floor(F.col("n") * SURPLUS / 100) * PER_CENT / 100) - spare, F.lit(1))
-    alive = materialize(
-        shared_tokens(rows, code_parts, text_parts).join(first, "set_id").where(F.col("shared") >= need), "jaccard_alive"
-    )
-    grouped = materialize(clusters(alive, code_parts), "jaccard_clusters")
+    alive = shared_tokens(rows, code_parts, text_parts, make).join(first.withColumn("need", need), "set_id")
+    alive = materialize(alive.where("shared >= need"), "jaccard_alive")
+    nodes = banded(alive, code_parts)
+    for _ in range(ROUNDS):
+        nodes = pruned(nodes, code_parts, text_parts)
+    grouped = materialize(clusters(nodes, code_parts), "jaccard_clusters")
     sizes = grouped.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight"))
-    sizes = sizes.where("sets > 1").withColumn("blocks", F.ceil(F.col("weight") / BLOCK_SHINGLES))
+    sizes = sizes.where("sets > 1").withColumn(
+        "blocks", F.ceil(F.greatest(F.col("weight") / BLOCK_SHINGLES, F.col("sets") / BLOCK_SETS))
+    )
     member = grouped.join(sizes, "cluster")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
     pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("set_id", F.lit(1)), F.greatest(F.floor(F.col("sets") / PIVOTS), F.lit(1))) == 0)
-    placed = materialize(member.select("set_id", "cluster", "blocks", own.alias("block"), pivot.alias("pivot")), "jaccard_placed")
+    placed = materialize(member.select("node", "set_id", "cluster", "blocks", own.alias("block"), pivot.alias("pivot")), "jaccard_placed")
     where = F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
     everywhere = placed.select(
         "set_id", "cluster", F.explode(where).alias("block"), F.lit(False).alias("probe"), F.col("set_id").alias("label")
     )
     wanted = placed.select("set_id").distinct().join(alive.select("set_id", "doc"), "set_id")
-    tokens = tokens_of(rows, wanted)
+    tokens = tokens_of(rows, wanted, make)
     links = _compare(everywhere, tokens)
     roots = materialize(components(links), "jaccard_roots")
     split = placed.where("blocks > 1")
     if split.isEmpty():
         return roots
     labelled = split.join(roots, split["set_id"] == roots["node"], "left").select(
-        split["set_id"], "cluster", "block", F.coalesce("root", "set_id").alias("label")
+        split["node"], split["set_id"], "cluster", "block", F.coalesce("root", "set_id").alias("label")
     )
-    labelled = materialize(labelled, "jaccard_labelled")
+    labelled = materialize(labelled, "jaccard_labelled")  # one row per node
     counted = labelled.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
     main = counted.groupBy("cluster").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
-    others = labelled.join(main, "cluster").where("label <> main").drop("main")
-    probes = materialize(_elsewhere(alive, labelled, others, code_parts), "jaccard_probes")
+    labelled = labelled.join(main, "cluster").withColumn("other", F.col("label") != F.col("main")).drop("main")
+    probes = materialize(_elsewhere(labelled, nodes, code_parts), "jaccard_probes")
     if probes.isEmpty():
         return roots
     blocks = probes.select("cluster", "block").distinct()
@@ -414,11 +463,13 @@ def linked_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return components(links.union(more))
 
 
-def linked_documents(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc, n, set_id, component) by row; the component is the least id that links lead to."""
+def linked_documents(docs: DataFrame, id_col="doc_id", text_col="text", make=shingle_sets) -> DataFrame:
+    """(doc, n, set_id, component) by row; the component is the least id that links lead to.
+
+    ``make`` gives the texts' sets of hashes, in order; by default those of their shingles."""
     rows = rows_by_document(docs, id_col, text_col)
-    sets = sets_of(rows)
-    roots = linked_sets(rows, sets)
+    sets = sets_of(rows, make)
+    roots = linked_sets(rows, sets, make)
     named = sets.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("least"))
     named = named.join(roots, named["set_id"] == roots["node"], "left").select(
         "set_id", "least", F.coalesce("root", "set_id").alias("root")

@@ -28,7 +28,7 @@ from stayledger.llm.units import Rolling, byte_table, chunks, mix, pack
 
 LENGTH = 50
 GRAM = 20
-FLUSH_RUNS = 1_000_000
+FLUSH_RUNS = 1 << 19
 FLUSH_BYTES = 16 << 20
 
 #: Columns of the exchanges: everything but the partition is an array in a binary value.
