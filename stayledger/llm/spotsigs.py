@@ -4,9 +4,9 @@ After each common word (anchor) the next two content words form a signature. So
 with few common words, or in other languages, have signatures too, the start of a text and
 every word whose hash falls into one class of eight are anchors as well. A
 fingerprint is the set of signatures, as hashes in hexadecimal, in order. Likeness is the
-Jaccard of two sets. ``similar_pairs`` compares fingerprints of many documents: a set meets
-only sets of its length class and the next, through the rarest of its signatures, and pairs
-whose lengths alone rule the limit out are dropped before they are compared.
+Jaccard of two sets. ``similar_documents`` compares the fingerprints of many documents: a set
+meets only sets of its length class and the next, and pairs that their lengths or summaries
+rule out are dropped before they are compared.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z folded.
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.llm.exchange import NO_ID
+from stayledger.llm.jaccard_join import linked_documents
 from stayledger.llm.units import byte_table, mix, random_words, word_hashes, words
 
 # Common words of four languages.
@@ -200,3 +201,18 @@ def _result_arrow():
 def fingerprint_digest(docs: DataFrame) -> DataFrame:
     found = _followed(docs.select("doc_id", "text")).groupBy("range").applyInArrow(_judge, RESULT)
     return found.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), *found.columns[1:])
+
+
+def _chunk_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    raw = data.tobytes()
+    rows, codes = signature_sets([raw[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())])
+    spread = mix(codes.astype(np.uint64))
+    return [np.sort(x) for x in np.split(spread, np.searchsorted(rows, np.arange(1, len(offsets) - 1)))]
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_signatures, component_id): documents whose fingerprints are alike by 0.8, directly or
+    through others, share the least id among them; one without words is alone."""
+    found = linked_documents(docs.select("doc_id", "text"), make=_chunk_sets)
+    shown = [F.when(F.col(c) != NO_ID, F.col(c)).alias(n) for c, n in (("doc", "doc_id"), ("component", "component_id"))]
+    return found.select(shown[0], F.col("n").alias("n_signatures"), shown[1])

@@ -159,6 +159,37 @@ def test_spot_signatures(spark, make_docs, monkeypatch):
     assert alone.near_next == 1.0
 
 
+def test_similar_fingerprints(spark, make_docs):
+    rng = random.Random(9)
+    rows = []
+    for family in range(8):
+        base = [rng.choice(["the", "of", "and", "to"]) if k % 3 == 0 else f"w{rng.randrange(500)}" for k in range(150)]
+        for copy in range(6):
+            own = list(base)
+            for _ in range(rng.randrange(8)):
+                own[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+            rows.append((100 + family * 10 + copy, " ".join(own)))
+    rows += odd_rows()[:4]
+    docs = make_docs(rows)
+    prints = {r.doc_id: r.fingerprint for r in spotsigs.fingerprint_digest(docs).collect()}
+    sets = {d: {f[k : k + 8] for k in range(0, len(f), 8)} for d, f in prints.items()}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    key = lambda d: (d is None, d or 0)
+    for a in sets:
+        for b in sets:
+            if key(a) < key(b) and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)), key=key)
+                root[y] = x
+    got = spotsigs.similar_documents(docs).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted(((d, len(sets[d]), find(d)) for d in sets), key=str)
+
+
 # latent retrieval --------------------------------------------------------------------------
 
 
