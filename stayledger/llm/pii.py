@@ -102,7 +102,9 @@ def contexts(text: str, start: int, end: int) -> list[str]:
     before = [_plain(w) for w in text[max(0, start - 80) : start].split()[-2:]]
     after = [_plain(w) for w in text[end : end + 60].split()[:1]]
     found = [" ".join(before) + " _"] if len(before) == 2 else []
-    return found + [f"{before[-1]} _ {after[0]}"] if before and after else found
+    if before and after:
+        found.append(f"{before[-1]} _ {after[0]}")
+    return [p for p in found if any(c.isalpha() for c in p)]  # marks alone tell nothing
 
 
 def identifiers(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
