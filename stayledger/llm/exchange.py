@@ -22,7 +22,7 @@ from stayledger.llm.units import Rolling, mix, pack, runs_within, sliding_min
 #: Text bytes whose codes meet in one task, and whose rows meet in one task.
 CODE_SHARE = 16 << 20
 TEXT_SHARE = 16 << 20
-FLUSH_CODES = 1 << 20
+FLUSH_CODES = 1 << 19
 NO_ID = (1 << 63) - 1
 
 CODES = "part long, docs binary, counts binary, codes binary, settled boolean"

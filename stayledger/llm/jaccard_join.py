@@ -44,7 +44,7 @@ from stayledger.llm.exchange import (
     shared_codes,
 )
 from stayledger.llm.units import Rolling, byte_table, chunks, mix, pack, word_hashes, words
-from stayledger.session import materialize
+from stayledger.session import broadcast_if_small, materialize
 
 SHINGLE = 5
 PER_CENT = 80
@@ -437,8 +437,11 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     everywhere = placed.select(
         "set_id", "cluster", F.explode(where).alias("block"), F.lit(False).alias("probe"), F.col("set_id").alias("label")
     )
-    wanted = placed.select("set_id").distinct().join(alive.select("set_id", "doc"), "set_id")
-    tokens = tokens_of(rows, wanted, make)
+    wanted = materialize(
+        placed.select("set_id").distinct().join(alive.select("set_id", "doc"), "set_id"), "jaccard_wanted"
+    )
+    # while the wanted ids are few, texts need not be shuffled to find them
+    tokens = tokens_of(rows, broadcast_if_small(wanted, wanted.count(), row_bytes=64), make)
     links = _compare(everywhere, tokens)
     roots = materialize(components(links), "jaccard_roots")
     split = placed.where("blocks > 1")
@@ -490,7 +493,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     names = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(*names, key)
     gone = materialize(found.where("doc <> component").select(F.col("doc").alias("_j_doc")).distinct(), "jaccard_gone")
-    kept = keyed.join(gone, "_j_doc", "left_anti")
+    kept = keyed.join(broadcast_if_small(gone, gone.count(), row_bytes=32), "_j_doc", "left_anti")
     # rows with equal ids in one group: one of them stays
     again = found.where("n > 0 and doc = component").groupBy(F.col("doc").alias("_j_doc")).count().where("count > 1")
     again = materialize(again.select("_j_doc"), "jaccard_again")
