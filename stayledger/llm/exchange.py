@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stayledger.llm.units import Rolling, mix, pack, runs_within, sliding_min
 
 #: Text bytes whose codes meet in one task, and whose rows meet in one task.
-CODE_SHARE = 16 << 20
+CODE_SHARE = 8 << 20
 TEXT_SHARE = 16 << 20
 FLUSH_CODES = 1 << 19
 NO_ID = (1 << 63) - 1

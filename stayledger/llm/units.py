@@ -67,6 +67,7 @@ def chunks(column, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray,
         own = offsets[first : last + 1]
         yield first, data[own[0] : own[-1]], own - own[0]
         first = last
+    pa.default_memory_pool().release_unused()  # a worker that waits holds no more than it must
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
