@@ -36,11 +36,12 @@ def next_prime(n: int) -> int:
     return n
 
 
-def rows_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, text as bytes); a null id sorts after all others, a null text is empty."""
+def rows_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more=()) -> DataFrame:
+    """(doc, text as bytes, more); a null id sorts after all others, a null text is empty."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
+        *more,
     )
 
 

@@ -19,16 +19,20 @@
 
 Defined cases: null, empty and word-less texts have an empty set, link with nothing and are
 their own component; fewer than five words are one shingle; rows with equal ids are compared
-as any others; a null id comes after all others; an empty table gives no rows; further columns
-pass through ``keep_one`` (names starting with ``_j_`` are refused).
+as any others; a null id comes after all others; an empty table gives no rows. ``keep_one``
+decides row by row, whatever the ids: of linked rows one with the least id stays (of several the
+one with the least hash of its columns), texts that link with nothing stay under null and
+repeated ids too, and so do all rows without words; further columns pass through (names
+starting with ``_j_`` are refused).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, DatetimeType, NumericType, StringType
 
 from stayledger.llm.components import LINKS, components, forest
 from stayledger.llm.exchange import (
@@ -56,6 +60,8 @@ BLOCK_SETS = 1 << 11
 PIVOTS = 16
 FAN_OUT = 8
 BAND = 1.25
+#: Columns of these types tell rows with equal ids apart; others cannot all be hashed.
+PLAIN = (BinaryType, BooleanType, DatetimeType, NumericType, StringType)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -95,19 +101,24 @@ def _announced_part(own: np.ndarray) -> np.ndarray:
 
 
 def sets_of(rows: DataFrame, make=shingle_sets) -> DataFrame:
-    """(doc, n, set_id, last) by document; ``last`` is the greatest of the lowest fifth, as signed."""
+    """(doc, n, set_id, last) by document; ``last`` is the greatest of the lowest fifth, as signed.
+
+    A column ``row`` of ``rows`` comes along."""
+    keys = [c for c in ("doc", "row") if c in rows.columns]
 
     def run(batches):
         for batch in batches:
-            out = {"doc": batch.column("doc"), "n": [], "set_id": [], "last": []}
+            out = {"n": [], "set_id": [], "last": []}
             for _, data, offsets in chunks(batch.column("text")):
                 for own in make(data, offsets):
                     out["n"].append(len(own))
                     out["set_id"].append(_set_id(own))
                     out["last"].append(int(own[_lowest(len(own)) - 1].astype(np.int64)) if len(own) else 0)
-            yield pa.record_batch([out["doc"], *[pa.array(out[k], pa.int64()) for k in ("n", "set_id", "last")]], names=list(out))
+            made = [pa.array(values, pa.int64()) for values in out.values()]
+            yield pa.record_batch([*[batch.column(k) for k in keys], *made], names=[*keys, *out])
 
-    return materialize(rows.mapInArrow(run, "doc long, n long, set_id long, last long"), "jaccard_sets")
+    schema = ", ".join(f"{c} long" for c in (*keys, "n", "set_id", "last"))
+    return materialize(rows.mapInArrow(run, schema), "jaccard_sets")
 
 
 def code_shift(code_parts: int) -> np.uint64:
@@ -471,7 +482,11 @@ def linked_documents(docs: DataFrame, id_col="doc_id", text_col="text", make=shi
 
     ``make`` gives the texts' sets of hashes, in order; by default those of their shingles."""
     rows = rows_by_document(docs, id_col, text_col)
-    sets = sets_of(rows, make)
+    return _with_components(rows, sets_of(rows, make), make).select("doc", "n", "set_id", "component")
+
+
+def _with_components(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFrame:
+    """``sets`` with the root of the sets that links lead to and the least id among their rows."""
     roots = linked_sets(rows, sets, make)
     named = sets.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("least"))
     named = named.join(roots, named["set_id"] == roots["node"], "left").select(
@@ -479,28 +494,46 @@ def linked_documents(docs: DataFrame, id_col="doc_id", text_col="text", make=shi
     )
     whole = named.groupBy("root").agg(F.min("least").alias("component"))
     # equal sets and large components are hot keys here: narrow rows, which Spark splits
-    found = materialize(named.join(whole, "root").select("set_id", "component"), "jaccard_components")
-    full = sets.where("n > 0").join(found, "set_id").select("doc", "n", "set_id", "component")
-    return full.union(sets.where("n = 0").select("doc", "n", "set_id", F.col("doc").alias("component")))
+    found = materialize(named.join(whole, "root").select("set_id", "root", "component"), "jaccard_components")
+    names = sets.drop("last").columns
+    full = sets.where("n > 0").join(found, "set_id").select(*names, "root", "component")
+    alone = sets.where("n = 0").select(*names, F.col("set_id").alias("root"), F.col("doc").alias("component"))
+    return full.union(alone)
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """A hash of the text and the other plain columns: rows with equal ids are told apart by it."""
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, PLAIN) and f.name != "text"]
+    return F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), *plain)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without those that are linked, directly or not, to one with a smaller id."""
+    """One row of each group of rows that are linked, directly or not: one with the least id."""
     if bad := [c for c in docs.columns if c.lower().startswith("_j_")]:
         raise ValueError(f"reserved column names: {bad}")
-    found = materialize(linked_documents(docs), "jaccard_documents")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_j_doc")
+    rows = rows_by_document(docs, more=[_row_key(docs).alias("row")])
+    found = materialize(_with_components(rows.drop("row"), sets_of(rows)), "jaccard_documents")
+    keys = [F.col("doc").alias("_j_doc"), F.col("row").alias("_j_row")]
+    # several rows with the least id of their group: the one with the least key stays
+    least = found.where("n > 0 and doc = component")
+    tied = least.groupBy("root").agg(F.min("row").alias("stays"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    tied = materialize(tied.select("root", "stays"), "jaccard_tied")
+    ties = tied.count()
+    among = least.join(broadcast_if_small(tied, ties, row_bytes=48), "root")
+    gone = found.where("doc <> component").select(*keys).union(among.where("row <> stays").select(*keys))
+    gone = materialize(gone.distinct(), "jaccard_gone")
     names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*names, key)
-    gone = materialize(found.where("doc <> component").select(F.col("doc").alias("_j_doc")).distinct(), "jaccard_gone")
-    kept = keyed.join(broadcast_if_small(gone, gone.count(), row_bytes=32), "_j_doc", "left_anti")
-    # rows with equal ids in one group: one of them stays
-    again = found.where("n > 0 and doc = component").groupBy(F.col("doc").alias("_j_doc")).count().where("count > 1")
-    again = materialize(again.select("_j_doc"), "jaccard_again")
-    if again.isEmpty():
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_j_doc")
+    keyed = docs.select(*names, key, _row_key(docs).alias("_j_row"))
+    kept = keyed.join(broadcast_if_small(gone, gone.count(), row_bytes=48), ["_j_doc", "_j_row"], "left_anti")
+    if not ties:
         return kept.select(*names)
-    once = kept.join(again, "_j_doc", "left_semi").dropDuplicates(["_j_doc"]).select(*names)
-    return kept.join(again, "_j_doc", "left_anti").select(*names).union(once)
+    # rows with equal keys are the same row several times
+    again = among.where("row = stays").groupBy(*keys).count().where("count > 1").select("_j_doc", "_j_row")
+    again = materialize(again, "jaccard_again")
+    small = broadcast_if_small(again, again.count(), row_bytes=48)
+    once = kept.join(small, ["_j_doc", "_j_row"], "left_semi").dropDuplicates(["_j_doc", "_j_row"])
+    return kept.join(small, ["_j_doc", "_j_row"], "left_anti").select(*names).union(once.select(*names))
 
 
 def components_digest(docs: DataFrame) -> DataFrame:

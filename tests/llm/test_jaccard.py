@@ -91,6 +91,27 @@ def test_keep_one(spark, make_docs):
         jaccard_join.keep_one(docs.withColumnRenamed("n", "_j_doc"))
 
 
+def test_keep_one_decides_by_row(spark, make_docs):
+    """Null and repeated ids with different texts: one row of each group, and every clean row."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcde")
+    rows = [
+        (None, a), (None, b), (None, b + " more"), (None, c), (None, ""), (None, None), (None, c),  # c copies id 3
+        (3, c), (3, d), (3, ""), (7, d + " more"), (7, e), (7, e), (8, "f g h i j k l")
+    ]
+    kept = [tuple(r)[:2] for r in jaccard_join.keep_one(make_docs(rows, 5)).collect()]
+    of_b = [r for r in kept if r[1] in (b, b + " more")]
+    assert len(of_b) == 1 and of_b[0][0] is None
+    left = [r for r in kept if r not in of_b]
+    assert sorted(left, key=str) == sorted(
+        [(None, a), (None, ""), (None, None), (3, c), (3, d), (3, ""), (7, e), (8, "f g h i j k l")], key=str
+    )
+    # as many rows as groups when a third of many rows has a null id, also with a copy of a row with an id
+    rows = [(None if k % 3 == 0 else k, " ".join(f"t{k}x{j}" for j in range(12))) for k in range(120)]
+    extra = [(None, rows[1][1]), (None, rows[3][1]), (5, rows[4][1])]
+    kept = jaccard_join.keep_one(make_docs(rows + extra)).collect()
+    assert sorted((tuple(r)[:2] for r in kept), key=str) == sorted(rows, key=str)
+
+
 def test_tree_rules_out_no_link():
     rng = np.random.default_rng(1)
     base = [np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(6)]
