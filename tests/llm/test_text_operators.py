@@ -59,6 +59,72 @@ def test_licences(spark, make_docs):
     assert licenses.license_digest(make_docs(rows).where("false")).collect() == []
 
 
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MIT_TEXT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a
+copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in
+all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+
+
+def test_wrapped_licence_texts(spark, make_docs):
+    """Standard texts, wrapped and commented, are recognised whole."""
+    later = ", or\n(at your option) any later version"
+    gpl2 = GPL_HEADER.replace("Foundation, either version 3", "Foundation; either version 2")
+    cases = [
+        (GPL_HEADER, "GPL-3.0-or-later"), (gpl2, "GPL-2.0-or-later"),
+        (GPL_HEADER.replace(later, ""), "GPL-3.0-only"), (gpl2.replace(later, "").replace("either ", ""), "GPL-2.0-only"),
+        (GPL_HEADER.replace("GNU G", "GNU Affero G"), "AGPL-3.0"), (GPL_HEADER.replace("GNU G", "GNU Lesser G"), "LGPL"),
+        (MIT_TEXT, "MIT"), (BSD_TEXT, "BSD-3-Clause"), (BSD_TEXT[: BSD_TEXT.index("3. ")] + BSD_TEXT[BSD_TEXT.index("THIS") :], "BSD-2-Clause"),
+        (APACHE_HEADER, "Apache-2.0"), ("GPL, you can redistribute it and/or\nmodify it under the terms of the GNU General Public License.", "GPL"),
+        ("Licensed under the GNU General Public License version 2 or any later version.", "GPL-2.0-or-later"),
+    ]
+    marked = [(t if k == 0 else "\n".join(f"{mark} {line}".rstrip() for line in t.split("\n")), n) for t, n in cases for k, mark in enumerate(["", " *", "#"])]
+    marked += [(t.replace("\n", "\r\n"), n) for t, n in cases]
+    # joined lines still end where a form asks for the end of a line
+    marked += [("All rights reserved\nSPDX-License-Identifier: MIT\nint x", "MIT,All-rights-reserved"), ("spdx license identifier mit x", "")]
+    got = {r.doc_id: (r.licenses, r.left_over) for r in licenses.license_digest(make_docs([(k, t) for k, (t, _) in enumerate(marked)])).collect()}
+    assert [got[k] for k in range(len(marked))] == [(n, "") for _, n in marked]
+
+
 # personal data -----------------------------------------------------------------------------
 
 
