@@ -14,8 +14,9 @@
    is too small, or when all members are connected already. What stays is compared exactly.
 5. Large clusters are split into blocks of bounded size. Some sets (pivots) stand in every
    block, so that copies connect across blocks; sets that are not in their cluster's main
-   component then go to the other blocks whose sets share a token with them. Nothing is
-   dropped, and no block sees more than its share.
+   component then go to the other blocks whose sets share a token with them, in portions of
+   bounded size beside that block's sets. Nothing is dropped, and no task sees more than a block
+   and a portion; how often a set travels grows with the blocks that share its lowest tokens.
 
 Defined cases: null, empty and word-less texts have an empty set, link with nothing and are
 their own component; fewer than five words are one shingle; rows with equal ids are compared
@@ -246,7 +247,7 @@ def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
 class SignatureTree:
     """Sets of a block under nodes with OR-combined bitmaps and size ranges."""
 
-    def __init__(self, sets: list[np.ndarray], probe: np.ndarray):
+    def __init__(self, sets: list[np.ndarray], probe: np.ndarray, resident: np.ndarray | None = None):
         self.sets = sets
         n = np.array([len(s) for s in sets], np.int64)
         width = 256
@@ -257,20 +258,22 @@ class SignatureTree:
             at = (own >> np.uint64(20)) % np.uint64(width)
             np.bitwise_or.at(bits[k], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         extra = n - np.bitwise_count(bits).sum(1).astype(np.int64)  # tokens that share a bit
-        self.levels = [(bits, n, n, extra, probe)]
+        resident = np.ones(len(sets), bool) if resident is None else resident
+        self.levels = [(bits, n, n, extra, probe, resident)]
         while len(bits) > 1:
             heads = np.arange(0, len(bits), FAN_OUT)
-            _, low, high, extra, probe = self.levels[-1]
+            _, low, high, extra, probe, resident = self.levels[-1]
             bits = np.bitwise_or.reduceat(bits, heads)
             low, high = np.minimum.reduceat(low, heads), np.maximum.reduceat(high, heads)
             extra, probe = np.maximum.reduceat(extra, heads), np.logical_or.reduceat(probe, heads)
-            self.levels.append((bits, low, high, extra, probe))
+            resident = np.logical_or.reduceat(resident, heads)
+            self.levels.append((bits, low, high, extra, probe, resident))
 
     def possible(self, level: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """For pairs of nodes: could any of their members be linked by sizes and bitmaps?"""
-        bits, low, high, extra, probe = self.levels[level]
+        bits, low, high, extra, probe, resident = self.levels[level]
         ok = (PER_CENT * low[left] <= 100 * high[right]) & (PER_CENT * low[right] <= 100 * high[left])
-        ok &= probe[left] | probe[right]
+        ok &= (probe[left] & resident[right]) | (resident[left] & probe[right])
         at = np.flatnonzero(ok)
         step = max(1, (1 << 18) // bits.shape[1])
         for k in range(0, len(at), step):
@@ -317,7 +320,7 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
 def link_block(ids, sets, labels=None, probe=None) -> tuple[np.ndarray, np.ndarray]:
     """A forest of the links between a block's sets; pairs in one component are not compared.
 
-    ``labels``: what is connected before; ``probe``: compare only pairs with a probe."""
+    ``labels``: what is connected before; ``probe``: compare only probes with others."""
     order = sorted(range(len(ids)), key=lambda k: (int(sets[k][0]), len(sets[k]), ids[k]))
     ids, sets = np.asarray(ids, np.int64)[order], [sets[k] for k in order]
     parent = list(range(len(ids)))
@@ -331,9 +334,11 @@ def link_block(ids, sets, labels=None, probe=None) -> tuple[np.ndarray, np.ndarr
     if labels is not None:
         _, first, group = np.unique(np.asarray(labels)[order], return_index=True, return_inverse=True)
         parent = first[group].tolist()
-    probe = np.ones(len(ids), bool) if probe is None else np.asarray(probe, bool)[order]
+    # two probes meet where one of them is at home
+    resident = None if probe is None else ~np.asarray(probe, bool)[order]
+    probe = np.ones(len(ids), bool) if probe is None else ~resident
     a, b = [], []
-    for left, right in SignatureTree(sets, probe).pairs() if len(ids) > 1 else ():
+    for left, right in SignatureTree(sets, probe, resident).pairs() if len(ids) > 1 else ():
         for x, y in zip(left.tolist(), right.tolist()):
             u, v = find(x), find(y)
             if u != v and _linked(sets[x], sets[y]):
@@ -359,9 +364,10 @@ def _block_links(table: pa.Table) -> pa.Table:
 
 
 def _compare(placed: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links from placements (set_id, cluster, block, probe, label) and the sets' tokens."""
-    full = placed.join(tokens, "set_id").select("cluster", "block", "set_id", "probe", "label", "tokens")
-    return materialize(full.groupBy("cluster", "block").applyInArrow(_block_links, LINKS), "jaccard_links")
+    """Links from placements (set_id, cluster, block, portion, probe, label) and the sets' tokens."""
+    where = ("cluster", "block", "portion")
+    full = placed.join(tokens, "set_id").select(*where, "set_id", "probe", "label", "tokens")
+    return materialize(full.groupBy(*where).applyInArrow(_block_links, LINKS), "jaccard_links")
 
 
 def tokens_of(rows: DataFrame, wanted: DataFrame, make=shingle_sets) -> DataFrame:
@@ -415,9 +421,9 @@ def _elsewhere(labelled: DataFrame, nodes: DataFrame, code_parts: int) -> DataFr
 
     met = full.mapInArrow(announce, CODES).groupBy("part").applyInArrow(meet, "node long, spot long").distinct()
     blocks = labelled.select("cluster", "block", spot.alias("spot")).distinct()
-    own = labelled.select("node", "set_id", "label", F.col("block").alias("own"))
+    own = labelled.select("node", "set_id", "n", "label", F.col("block").alias("own"))
     return (
-        met.join(own, "node").join(blocks, "spot").where("block <> own").select("set_id", "cluster", "block", "label")
+        met.join(own, "node").join(blocks, "spot").where("block <> own").select("set_id", "n", "cluster", "block", "label")
     )
 
 
@@ -443,10 +449,15 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     member = grouped.join(sizes, "cluster")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
     pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("set_id", F.lit(1)), F.greatest(F.floor(F.col("sets") / PIVOTS), F.lit(1))) == 0)
-    placed = materialize(member.select("node", "set_id", "cluster", "blocks", own.alias("block"), pivot.alias("pivot")), "jaccard_placed")
+    placed = materialize(member.select("node", "set_id", "n", "cluster", "blocks", own.alias("block"), pivot.alias("pivot")), "jaccard_placed")
     where = F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
     everywhere = placed.select(
-        "set_id", "cluster", F.explode(where).alias("block"), F.lit(False).alias("probe"), F.col("set_id").alias("label")
+        "set_id",
+        "cluster",
+        F.explode(where).alias("block"),
+        F.lit(0).cast("long").alias("portion"),
+        F.lit(False).alias("probe"),
+        F.col("set_id").alias("label"),
     )
     wanted = materialize(
         placed.select("set_id").distinct().join(alive.select("set_id", "doc"), "set_id"), "jaccard_wanted"
@@ -459,7 +470,7 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     if split.isEmpty():
         return roots
     labelled = split.join(roots, split["set_id"] == roots["node"], "left").select(
-        split["node"], split["set_id"], "cluster", "block", F.coalesce("root", "set_id").alias("label")
+        split["node"], split["set_id"], "n", "cluster", "block", F.coalesce("root", "set_id").alias("label")
     )
     labelled = materialize(labelled, "jaccard_labelled")  # one row per node
     counted = labelled.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("size"))
@@ -468,11 +479,18 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     probes = materialize(_elsewhere(labelled, nodes, code_parts), "jaccard_probes")
     if probes.isEmpty():
         return roots
-    blocks = probes.select("cluster", "block").distinct()
-    residents = labelled.join(blocks, ["cluster", "block"]).select(
-        "set_id", "cluster", "block", F.lit(False).alias("probe"), "label"
+    # the probes of a block come in portions, and its own sets stand beside each
+    loads = probes.groupBy("cluster", "block").agg(F.count(F.lit(1)).alias("asked"), F.sum("n").alias("weight"))
+    portions = F.ceil(F.greatest(F.col("weight") / BLOCK_SHINGLES, F.col("asked") / BLOCK_SETS))
+    loads = loads.select("cluster", "block", portions.alias("portions"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion")
+    residents = labelled.join(loads, ["cluster", "block"]).select(
+        "set_id", "cluster", "block", each, F.lit(False).alias("probe"), "label"
+    )
+    portion = F.pmod(F.xxhash64("set_id", F.lit(2)), F.col("portions")).alias("portion")
+    asked = probes.join(loads, ["cluster", "block"]).select(
+        "set_id", "cluster", "block", portion, F.lit(True).alias("probe"), "label"
     )
-    asked = probes.select("set_id", "cluster", "block", F.lit(True).alias("probe"), "label")
     more = _compare(residents.union(asked), tokens)
     return components(links.union(more))
 

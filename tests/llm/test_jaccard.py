@@ -79,6 +79,26 @@ def test_clusters_in_several_blocks(spark, make_docs, monkeypatch):
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
 
 
+def test_second_pass_in_portions(spark, make_docs, monkeypatch):
+    """A template in many documents that are not linked: no task gets all of their sets."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 10)
+    sizes, compare = [], jaccard_join._compare
+
+    def spy(placed, tokens):
+        where = [c for c in ("cluster", "block", "portion") if c in placed.columns]
+        sizes.append(placed.groupBy(*where).count().agg({"count": "max"}).first()[0])
+        return compare(placed, tokens)
+
+    monkeypatch.setattr(jaccard_join, "_compare", spy)
+    rng = random.Random(4)
+    template = " ".join(f"c{k}" for k in range(100))
+    rows = [(k, template + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(25))) for k in range(150)]
+    rows += [(200 + k, rows[k][1] + f" last{k}") for k in range(0, 40, 3)]
+    got = jaccard_join.components_digest(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    assert len(sizes) == 2 and sizes[1] <= 50
+
+
 def test_keep_one(spark, make_docs):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(4, text), (4, text), (9, text), (11, text + " more"), (12, "other words here"), (12, ""), (12, ""), (13, None)]
