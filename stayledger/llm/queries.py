@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.llm import (
@@ -17,9 +18,12 @@ from stayledger.llm import (
     spotsigs,
     substring_dedup,
     suffix_dedup,
+    token_lexicon,
     url_filter,
 )
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -65,6 +69,10 @@ def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_digest(_table(spark, folder, "pages"))
 
 
+def op13_token_lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    return token_lexicon.encoding_digest(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_license_scan,
@@ -77,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_spot_signatures,
         op10_url_templates,
+        op13_token_lexicon,
     ]
     return {f.__name__: f for f in found}
 
