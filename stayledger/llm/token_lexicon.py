@@ -43,13 +43,14 @@ LEXICON_WORDS = 1 << 17
 #: Longer words are left out of the automaton and merged with a heap, one by one.
 LONG_WORD = 48
 #: Bytes of text whose words stand in memory together, but for one longer text.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
+#: Words whose tokens a task keeps from one run of texts to the next.
+KEPT_WORDS = 1 << 18
 WORD_END = "</w>"
 NO_RANK = np.int64(1 << 40)
 
-_PLAIN = regex.compile(r"[^\x00-ͯ]")
-_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\x85\xa0\p{L}\p{N}]+|[\x1c-\x1f]+")
-_SPACE = regex.compile(r"[\x09-\x0d\x20\x85\xa0]+")
+_FAR = regex.compile(r"[^\x00-\u036f]")
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\x09-\x0d\x20\x85\xa0\p{L}\p{N}]+")
 
 
 def byte_characters() -> list[str]:
@@ -269,10 +270,10 @@ class Cutter:
         return found + self._cut(text[start:])
 
     def _cut(self, text: str) -> list[str | bytes]:
-        if _PLAIN.search(text) is None:
+        if _FAR.search(text) is None:
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text)
-            return _CUT.findall(_SPACE.sub(" ", text.lower()))
+            return _CUT.findall(text.lower())
         return self._by_library(text)
 
     def _by_library(self, text: str) -> list[bytes]:
@@ -303,6 +304,7 @@ class Lexicon:
         ends = arrays["name_ends"].tolist()
         names = arrays["names"].astype(np.uint8).tobytes()
         self.names = [names[a:b] for a, b in zip([0, *ends], ends)]
+        self._forget()
 
     def tokens(self, words: list) -> tuple[np.ndarray, np.ndarray]:
         """(tokens one after the other, lengths) of distinct words and special tokens."""
@@ -336,18 +338,33 @@ class Lexicon:
             out[ends[k] - len(tokens) : ends[k]] = tokens
         return out, lengths
 
-    def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bytes]]:
-        """(token ids, decoded text) of each text."""
-        seen: dict = {}
-        codes = [[seen.setdefault(w, len(seen)) for w in self.cutter.words(t)] for t in texts]
-        tokens, lengths = self.tokens(list(seen))
+    def learn(self, words: set) -> None:
+        """Keeps the tokens of new words; ``KEPT_WORDS`` at most besides those of the texts at hand."""
+        new = list(words - self.seen.keys())
+        if len(self.seen) + len(new) > KEPT_WORDS:
+            self._forget()
+            new = list(words)
+        tokens, lengths = self.tokens(new)
         ends = np.cumsum(lengths)
-        starts = ends - lengths
         names = [self.names[t] for t in tokens.tolist()]
-        pieces = [b" ".join(names[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-        for own in codes:
-            at = np.array(own, np.int64)
-            yield tokens[spans(starts[at], lengths[at])], b" ".join([pieces[c] for c in own])
+        self.pieces += [b" ".join(names[a:b]) for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+        self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new))))
+        self.starts = np.append(self.starts, ends - lengths + len(self.flat))
+        self.lengths = np.append(self.lengths, lengths)
+        self.flat = np.append(self.flat, tokens)
+
+    def _forget(self) -> None:
+        self.seen, self.pieces = {}, []
+        self.flat = self.starts = self.lengths = np.zeros(0, np.int64)
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bytes]]:
+        """(token ids, decoded text) of each text."""
+        cut = [self.cutter.words(t) for t in texts]
+        self.learn(set().union(*cut))
+        for own in cut:
+            at = np.fromiter(map(self.seen.__getitem__, own), np.int64, len(own))
+            decoded = b" ".join(map(self.pieces.__getitem__, at.tolist()))
+            yield self.flat[spans(self.starts[at], self.lengths[at])], decoded
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
