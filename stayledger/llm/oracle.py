@@ -184,3 +184,37 @@ reach(doc_id, other) AS (
 SELECT r.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.other) AS component_id
 FROM reach r LEFT JOIN sizes s ON r.doc_id = s.doc_id GROUP BY r.doc_id
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+placed AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM cut, range(1, 5) AS s(m)),
+f AS (
+  SELECT lang, m, w[i:i + m - 1] AS words, count(*) AS a
+  FROM placed GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+best AS (
+  SELECT c.lang, c.words, c.a, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a // (l.a + r.a))::BIGINT AS score
+  FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.words = c.words[1:c.k]
+  JOIN f r ON r.lang = c.lang AND r.words = c.words[c.k + 1:c.m]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.words ORDER BY score, c.k) = 1),
+inner_places AS (
+  SELECT *, unnest(range(1, m - size + 2)) AS i
+  FROM (SELECT *, unnest(range(2, m)) AS size FROM f WHERE m > 2)),
+held AS (
+  SELECT lang, words[i:i + size - 1] AS words, max(a) AS outer_a FROM inner_places GROUP BY ALL)
+SELECT b.lang,
+  row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, array_to_string(b.words, ' ')) AS rank,
+  array_to_string(b.words, ' ') AS phrase, b.a, b.l, b.r, t.n, b.score
+FROM best b JOIN totals t ON t.lang = b.lang
+LEFT JOIN held h ON h.lang = b.lang AND h.words = b.words
+WHERE h.outer_a IS NULL OR 100::HUGEINT * h.outer_a < 80::HUGEINT * b.a
+QUALIFY rank <= 2000
+"""

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.llm import (
+    collocations,
     decontaminate,
     jaccard_join,
     licenses,
@@ -69,6 +70,10 @@ def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_digest(_table(spark, folder, "pages"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def op13_token_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     return token_lexicon.encoding_digest(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -85,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_spot_signatures,
         op10_url_templates,
+        op12_collocations,
         op13_token_lexicon,
     ]
     return {f.__name__: f for f in found}
@@ -97,4 +103,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_jaccard_join": oracle.JACCARD_JOIN,
         "op7_suffix_dedup": oracle.REPEATED_BYTES,
         "op10_url_templates": oracle.URL_TEMPLATES,
+        "op12_collocations": oracle.COLLOCATIONS,
     }
