@@ -218,3 +218,46 @@ LEFT JOIN held h ON h.lang = b.lang AND h.words = b.words
 WHERE h.outer_a IS NULL OR 100::HUGEINT * h.outer_a < 80::HUGEINT * b.a
 QUALIFY rank <= 2000
 """
+
+PREFIX_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(text, '') AS text,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, code) AS i FROM turns),
+convs AS (
+  -- crc32 of the decimal digits, bit by bit; only its last two bits are wanted
+  SELECT c, c - c % 20 AS base,
+    (4294967295 - list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(c::VARCHAR, ''),
+        lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda acc, v: xor(xor(acc, v) >> 1, (xor(acc, v) & 1) * 3988292384))) % 4 AS h
+  FROM (SELECT DISTINCT c FROM turns)),
+rebuilt AS (
+  SELECT v.c, 0 AS part, p.i, p.code, p.text FROM convs v JOIN placed p ON p.c = v.base AND p.i <= v.h
+  UNION ALL
+  SELECT v.c, 1, p.i, p.code, p.text FROM convs v JOIN placed p ON p.c = v.c AND p.i > v.h),
+whole AS (
+  SELECT v.c, coalesce(list(r.code ORDER BY part, i) FILTER (r.code IS NOT NULL), []) AS codes,
+    list(len(regexp_extract_all(r.text, '[^\x20\x09-\x0D]+')) ORDER BY part, i) AS words
+  FROM convs v LEFT JOIN rebuilt r ON r.c = v.c GROUP BY v.c),
+members AS (
+  SELECT c, d, codes[1:d] AS path, d = len(codes) AS last, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words
+  FROM (SELECT *, unnest(range(0, len(codes) + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM members GROUP BY path, d),
+children AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT path[1:k] AS path, sum(saved)::BIGINT AS saved, (count(*) FILTER (leaf))::BIGINT AS leaves
+  FROM (SELECT n.path, n.saved, c.n IS NULL AS leaf, unnest(range(0, n.d + 1)) AS k
+        FROM nodes n LEFT JOIN children c ON c.path = n.path)
+  GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+  b.leaves AS n_leaves, b.saved AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path
+LEFT JOIN children c ON c.path = n.path
+LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[1:n.d - 1]
+"""

@@ -15,6 +15,7 @@ from stayledger.llm import (
     mixing,
     oracle,
     pii,
+    prefix_trie,
     quality,
     spotsigs,
     substring_dedup,
@@ -70,6 +71,10 @@ def op10_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_digest(_table(spark, folder, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie_digest(_table(spark, folder, "conversations"))
+
+
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_table(spark, folder, "documents"))
 
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_spot_signatures,
         op10_url_templates,
+        op11_prefix_trie,
         op12_collocations,
         op13_token_lexicon,
     ]
@@ -103,5 +109,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_jaccard_join": oracle.JACCARD_JOIN,
         "op7_suffix_dedup": oracle.REPEATED_BYTES,
         "op10_url_templates": oracle.URL_TEMPLATES,
+        "op11_prefix_trie": oracle.PREFIX_TRIE,
         "op12_collocations": oracle.COLLOCATIONS,
     }
