@@ -5,18 +5,22 @@ one, two and three places, padded where the piece ends. Only these windows are c
 phrase of k words is a prefix of the windows that it starts, so Spark's ``ROLLUP`` over the
 window's columns gives the counts of all shorter phrases as sums over the longest.
 
-A window is padded before its end, too, where its prefix is certainly rarer than the threshold:
-a first pass adds up hashed counts of prefixes in a table of fixed size, whose cells are never
-below the count of any phrase in them. What is cut off can belong to no candidate, so results do
-not depend on the table; its size only decides how many rare windows travel.
+So that rare windows neither travel as text nor reach the rollup:
+
+* Words are counted first. A word below the threshold is in no candidate and pads the window. The
+  ``DICTIONARY`` most frequent words get small numbers, other frequent words keep their hash;
+  which word has which only decides how many bytes a window takes.
+* Windows are dealt by their first two words, packed by column. A partition sees all
+  windows of its prefixes, so it pads those whose prefixes stay below the threshold. Prefixes
+  of words that are all very frequent (``HOT`` occurrences) are dealt by one word more, up to
+  four, and are left to the rollup.
 
 A candidate's counts of parts come from the same sums: each part of a phrase that reaches the
-threshold reaches it too.
+threshold reaches it too. Words are told apart by 63-bit hashes of language and word.
 
 Defined cases: a null text is empty, a null language is ``und``; a language without candidates
 has no rows; repeated rows count as often as they stand there; equal scores are ordered by count,
 then by phrase; a piece of any length is cut into windows as a whole; further columns do not matter.
-Within a chunk of text equal windows are found by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayledger.llm.exchange import next_prime
 from stayledger.llm.units import Rolling, byte_table, chunks, mix, pack, word_hashes, words
 from stayledger.session import broadcast_if_small, materialize
 
@@ -36,11 +41,18 @@ LEAST = 30
 INSIDE_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
-#: Cells of the table of hashed counts: one byte each, no count beyond ``LEAST``.
+#: Words with numbers, and bits of the table of other frequent words: what every task gets.
+DICTIONARY = 1 << 18
 CELLS = 1 << 24
-BLOCK = 1 << 20
+#: Occurrences from which a word is very frequent, windows of a partition, windows packed at once.
+HOT = 1 << 22
+PARTITION = 1 << 21
+FLUSH = 1 << 20
+CHUNK = 1 << 21
 COLUMNS = [f"w{k}" for k in range(1, LONGEST + 1)]
-PAD = ""
+TOP_BIT = np.uint64(1 << 63)
+PAD = np.uint64(0)
+CODEC = "zstd"
 
 
 def _breaks() -> np.ndarray:
@@ -56,11 +68,8 @@ def _piece_ends() -> np.ndarray:
     return table
 
 
-class Windows:
-    """The words of a chunk of texts and, for each, hashes of the prefixes of its window.
-
-    ``prefixes[k]`` is the hash of the k + 1 words from each word on, with their language;
-    ``room`` says how many words the window has before its piece ends."""
+class Words:
+    """The words of a chunk of texts: their places, their codes and the room up to their piece's end."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, languages: np.ndarray):
         self.data = data
@@ -73,12 +82,7 @@ class Windows:
         last = np.flatnonzero(ends_here)
         self.room = np.minimum(last[np.searchsorted(last, np.arange(n))] - np.arange(n) + 1, LONGEST)
         hashes = word_hashes(data, self.starts, self.ends, byte_table("phrase", fold_case=True))
-        rolling = Rolling(hashes)
-        at = np.arange(n)
-        self.prefixes = []
-        for k in range(LONGEST):
-            spans = rolling.span(at, np.minimum(at + k + 1, n))
-            self.prefixes.append(mix(spans + languages[self.rows] * np.uint64(2 * k + 1)))
+        self.codes = mix(hashes + languages[self.rows]) | TOP_BIT
 
 
 def _languages(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
@@ -92,182 +96,277 @@ def _languages(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
     return np.array([known[n] for n in names], np.uint64), names
 
 
-def _cells(prefix: np.ndarray, length: int) -> np.ndarray:
-    return (mix(prefix + np.uint64(length)) & np.uint64(CELLS - 1)).astype(np.int64)
-
+def _grouped(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, heads in that order, group of each) of equal codes."""
+    order = np.argsort(codes, kind="stable")
+    fresh = np.append(True, codes[order][1:] != codes[order][:-1])[: len(codes)]
+    group = np.zeros(len(codes), np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    return order, np.flatnonzero(fresh), group
 
-def _saturated(total: np.ndarray, more: np.ndarray) -> np.ndarray:
-    return np.minimum(total.astype(np.uint16) + more, LEAST).astype(np.uint8)
 
-
-def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block of the table with this task's counts."""
-    total = np.zeros(CELLS, np.uint8)
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of each chunk with their counts."""
     for batch in batches:
-        languages, _ = _languages(batch)
-        for first, data, offsets in chunks(batch.column("text"), 1 << 21):
-            found = Windows(data, offsets, languages[first : first + len(offsets) - 1])
-            for k in range(LONGEST - 1):
-                cells = np.sort(_cells(found.prefixes[k][found.room > k], k))
-                heads = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])[: len(cells)])
-                counts = np.diff(np.append(heads, len(cells)))
-                cells = cells[heads]
-                total[cells] = np.minimum(total[cells] + np.minimum(counts, LEAST), LEAST)
-    for block in range(CELLS // BLOCK):
-        own = total[block * BLOCK : (block + 1) * BLOCK]
-        if own.any():
+        languages, names = _languages(batch)
+        for first, data, offsets in chunks(batch.column("text"), CHUNK):
+            found = Words(data, offsets, languages[first : first + len(offsets) - 1])
+            if not len(found.codes):
+                continue
+            order, heads, _ = _grouped(found.codes)
+            at = order[heads]
+            folded = data.copy()
+            folded[(folded >= 65) & (folded <= 90)] += 32
+            text = folded.tobytes()
+            spans = zip(found.starts[at].tolist(), found.ends[at].tolist())
             yield pa.record_batch(
-                [pa.array([block], pa.int64()), pa.array([pack(own)], pa.binary())], names=["block", "sums"]
+                [
+                    pa.array(found.codes[at].view(np.int64)),
+                    pa.array([names[first + r] for r in found.rows[at].tolist()], pa.string()),
+                    pa.array([text[a:b].decode("utf-8", "replace") for a, b in spans], pa.string()),
+                    pa.array(np.diff(np.append(heads, len(order)))),
+                ],
+                names=["code", "lang", "word", "n"],
             )
 
 
-def _add_cells(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BLOCK, np.uint8)
-    for batch in batches:
-        for sums in batch.column("sums"):
-            total = _saturated(total, np.frombuffer(sums.as_py(), np.uint8))
-    yield pa.record_batch(
-        [pa.array([key[0].as_py()], pa.int64()), pa.array([pack(np.packbits(total >= LEAST))], pa.binary())],
-        names=["block", "bits"],
-    )
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(code, lang, word, n)"""
+    rows = texts.mapInArrow(_count_words, "code long, lang string, word string, n long")
+    return rows.groupBy("code", "lang", "word").agg(F.sum("n").alias("n"))
 
 
-def frequent_cells(texts: DataFrame) -> np.ndarray:
-    """A bit per cell: whether its phrases together reach the threshold. Two megabytes at any size of input."""
-    counted = texts.mapInArrow(_count_cells, "block long, sums binary")
-    rows = counted.groupBy("block").applyInArrow(_add_cells, "block long, bits binary").collect()
-    bits = np.zeros(CELLS // 8, np.uint8)
-    for row in rows:
-        start = row["block"] * BLOCK // 8
-        bits[start : start + BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
-    return bits
+class Dictionary:
+    """Numbers of the most frequent words from 1 on, and bits that all other frequent words have."""
 
+    def __init__(self, codes: np.ndarray, hot: int, bits: np.ndarray | None):
+        self.codes, self.hot, self.bits = codes, hot, bits
+        self.order = np.argsort(codes)
+        self.sorted = codes[self.order]
 
-def _has(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (bits[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
+    def tokens(self, codes: np.ndarray) -> np.ndarray:
+        """The word's number, its code, or padding for a word that is surely too rare."""
+        out = np.zeros(len(codes), np.uint64)
+        if self.bits is not None:
+            cells = (codes & np.uint64(CELLS - 1)).astype(np.int64)
+            maybe = (self.bits[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1 == 1
+            out[maybe] = codes[maybe]
+        if len(self.sorted):
+            at = np.minimum(np.searchsorted(self.sorted, codes), len(self.sorted) - 1)
+            known = self.sorted[at] == codes
+            out[known] = self.order[at[known]].astype(np.uint64) + np.uint64(1)
+        return out
 
+    def is_hot(self, tokens: np.ndarray) -> np.ndarray:
+        return (tokens != PAD) & (tokens <= np.uint64(self.hot))
 
-def _window_rows(found: Windows, names: list[str], room: np.ndarray) -> pa.RecordBatch:
-    """Distinct padded windows of a chunk with their counts."""
-    n = len(room)
-    own = np.zeros(n, np.uint64)
-    for k in range(LONGEST):
-        here = room == k + 1
-        own[here] = mix(found.prefixes[k][here] + np.uint64(k))
-    # windows without any word still count among their language's words
-    codes = {name: k for k, name in enumerate(dict.fromkeys(names))}
-    language = np.array([codes[x] for x in names], np.int64)[found.rows]
-    none = room == 0
-    own[none] = language[none].astype(np.uint64)
-    order = np.lexsort((room, own))
-    fresh = np.ones(n, bool)
-    fresh[1:] = (own[order][1:] != own[order][:-1]) | (room[order][1:] != room[order][:-1])
-    heads = np.flatnonzero(fresh)
-    first = order[heads]
-    counts = np.diff(np.append(heads, n))
-    folded = found.data.copy()
-    upper = (folded >= 65) & (folded <= 90)
-    folded[upper] += 32
-    text = folded.tobytes()
-    columns = []
+    def words(self, tokens: np.ndarray) -> np.ndarray:
+        """Codes again."""
+        out = tokens.copy()
+        numbered = (tokens != PAD) & (tokens < TOP_BIT)
+        out[numbered] = self.codes[(tokens[numbered] - np.uint64(1)).astype(np.int64)]
+        return out
+
+
+def _bits_of(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(CELLS // 16, bool)
+    for batch in batches:
+        bits[batch.column("cell").to_numpy() % len(bits)] = True
+    yield pa.record_batch([pa.array([key[0].as_py()]), pa.array([pack(np.packbits(bits))], pa.binary())], names=["block", "bits"])
+
+
+def dictionary_of(frequent: DataFrame, limit: int = DICTIONARY) -> Dictionary:
+    """At most ``limit`` words come to the driver: those above the least power of two that leaves so many."""
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = {r["p"]: r["m"] for r in frequent.groupBy(power.alias("p")).agg(F.count("*").alias("m")).collect()}
+    floor, held = 64, 0
+    for p in sorted(sizes, reverse=True):
+        if held + sizes[p] > limit:
+            break
+        floor, held = p, held + sizes[p]
+    rows = sorted(frequent.where(power >= floor).select("n", "code").collect(), reverse=True)
+    codes = np.array([r["code"] for r in rows], np.int64).view(np.uint64)
+    bits = None
+    if held < sum(sizes.values()):
+        cell = F.col("code").bitwiseAND(F.lit(CELLS - 1))
+        others = frequent.where(power < floor).select(cell.alias("cell")).distinct()
+        blocks = others.withColumn("block", F.floor(F.col("cell") / (CELLS // 16)))
+        parts = blocks.groupBy("block").applyInArrow(_bits_of, "block long, bits binary").collect()
+        bits = np.zeros(CELLS // 8, np.uint8)
+        for row in parts:
+            own = np.frombuffer(row["bits"], np.uint8)
+            bits[row["block"] * len(own) : (row["block"] + 1) * len(own)] = own
+    return Dictionary(codes, sum(r["n"] >= HOT for r in rows), bits)
+
+
+def _prefix_codes(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """A hash of the first word, the first two, and so on."""
+    found, last = [], np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        last = mix(last * np.uint64(0x9E3779B97F4A7C15) + mix(column + np.uint64(1)))
+        found.append(last)
+    return found
+
+
+def _dealt_by(columns: list[np.ndarray], dictionary: Dictionary) -> np.ndarray:
+    """How many words decide a window's partition: up to the first that is not very frequent, two at least."""
+    length = np.full(len(columns[0]), 1)
+    hot = dictionary.is_hot(columns[0])
+    for column in columns[1:]:
+        length += hot | (length < 2)
+        hot &= dictionary.is_hot(column)
+    return length
+
+
+def _packed(columns: list[np.ndarray], counts: np.ndarray, parts: int, dictionary: Dictionary) -> pa.RecordBatch:
+    """One row per partition: the windows' columns byte by byte, compressed."""
+    prefixes, length = _prefix_codes(columns), _dealt_by(columns, dictionary)
+    key = np.choose(length - 1, prefixes)
+    part = (key % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((columns[1], columns[0], part))
+    part = part[order]
+    heads = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+    codec, values, sizes = pa.Codec(CODEC), [], []
+    table = np.stack([c[order] for c in columns] + [counts[order].astype(np.uint64)])
+    for a, b in zip(heads, np.append(heads[1:], len(part))):
+        planes = np.ascontiguousarray(table[:, a:b]).view(np.uint8).reshape(LONGEST + 1, b - a, 8).transpose(0, 2, 1)
+        values.append(codec.compress(pack(planes), asbytes=True))
+        sizes.append(b - a)
+    columns_out = [pa.array(part[heads]), pa.array(sizes, pa.int64()), pa.array(values, pa.binary())]
+    return pa.record_batch(columns_out, names=["part", "size", "windows"])
+
+
+def _unpacked(table: pa.Table) -> np.ndarray:
+    codec, found = pa.Codec(CODEC), [np.zeros((LONGEST + 1, 0), np.uint64)]
+    for size, value in zip(table.column("size").to_pylist(), table.column("windows").to_pylist()):
+        planes = np.frombuffer(codec.decompress(value, size * 8 * (LONGEST + 1)), np.uint8)
+        flat = np.ascontiguousarray(planes.reshape(LONGEST + 1, 8, size).transpose(0, 2, 1))
+        found.append(flat.view(np.uint64).reshape(LONGEST + 1, size))
+    return np.concatenate(found, axis=1)
+
+
+def _distinct(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    order, heads, _ = _grouped(_prefix_codes(columns)[-1])
+    at = order[heads]
+    return [c[at] for c in columns], np.add.reduceat(counts[order], heads) if len(heads) else counts
+
+
+def _chunk_windows(found: Words, dictionary: Dictionary) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct windows of a chunk: columns led by one, two and three places, padded from the first gap on."""
+    n = len(found.codes)
+    tokens, columns, on = dictionary.tokens(found.codes), [], np.ones(n, bool)
     for k in range(LONGEST):
-        at = np.minimum(first + k, n - 1)
-        spans = zip(found.starts[at].tolist(), found.ends[at].tolist(), (room[first] > k).tolist())
-        columns.append(pa.array([text[a:b].decode("utf-8", "replace") if has else PAD for a, b, has in spans], pa.string()))
-    keys = list(codes)
-    return pa.record_batch(
-        [pa.array([keys[c] for c in language[first].tolist()], pa.string()), *columns, pa.array(counts, pa.int64())],
-        names=["lang", *COLUMNS, "n"],
-    )
+        led = np.append(tokens[k:], np.zeros(min(k, n), np.uint64))[:n]
+        on &= (found.room > k) & (led != PAD)
+        columns.append(np.where(on, led, PAD))
+    some = columns[0] != PAD
+    columns = [c[some] for c in columns]
+    return _distinct(columns, np.ones(len(columns[0]), np.int64))
+
+
+def longest_windows(texts: DataFrame, dictionary: Dictionary, parts: int, least: int = LEAST) -> DataFrame:
+    """(w1..w4 as codes, n): windows padded from the first prefix that stays below ``least``."""
+    shared = texts.sparkSession.sparkContext.broadcast(dictionary)
 
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
-def longest_windows(texts: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(lang, w1..w4, n): the windows of each chunk, padded from the first prefix that is surely too rare."""
+        def flushed() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*(h[0] for h in held))]
+            counts = np.concatenate([h[1] for h in held])
+            held.clear()
+            return _packed(*_distinct(columns, counts), parts, shared.value)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            languages, names = _languages(batch)
-            for first, data, offsets in chunks(batch.column("text"), 1 << 21):
-                last = first + len(offsets) - 1
-                found = Windows(data, offsets, languages[first:last])
-                n = len(found.room)
-                if not n:
-                    continue
-                # a window may be as long as its prefixes and those of the windows inside it are frequent
-                reach = np.zeros(n, np.int64)
-                for k in range(LONGEST - 1):
-                    reach += (reach == k) & (found.room > k) & _has(bits, _cells(found.prefixes[k], k))
-                reach += (reach == LONGEST - 1) & (found.room == LONGEST)
-                for k in range(1, LONGEST):
-                    inner = np.append(reach[k:], np.zeros(min(k, n), np.int64))[:n]
-                    limit = np.where(inner >= LONGEST - 1, LONGEST, inner) + k
-                    reach = np.where(reach > k, np.minimum(reach, np.maximum(limit, k)), reach)
-                yield _window_rows(found, names[first:last], reach)
-
-    types = ", ".join(f"{c} string" for c in ["lang", *COLUMNS])
-    return texts.mapInArrow(run, f"{types}, n long")
+            languages, _ = _languages(batch)
+            for first, data, offsets in chunks(batch.column("text"), CHUNK):
+                held.append(_chunk_windows(Words(data, offsets, languages[first : first + len(offsets) - 1]), shared.value))
+                size += len(held[-1][1])
+                if size >= FLUSH:
+                    yield flushed()
+                    size = 0
+        if size:
+            yield flushed()
+
+    def padded(table: pa.Table) -> pa.Table:
+        *columns, counts = _unpacked(table)
+        counts = counts.astype(np.int64)
+        length = _dealt_by(columns, shared.value)
+        for k in range(LONGEST, 1, -1):
+            order, heads, group = _grouped(_prefix_codes(columns[:k])[-1])
+            total = np.add.reduceat(counts[order], heads)
+            rare = (total[group] < least) & (length <= k)
+            for column in columns[k - 1 :]:
+                column[rare] = PAD
+        columns, counts = _distinct(columns, counts)
+        codes = [pa.array(shared.value.words(c).view(np.int64)) for c in columns]
+        return pa.table([*codes, pa.array(counts)], names=[*COLUMNS, "n"])
+
+    dealt = texts.mapInArrow(deal, "part long, size long, windows binary")
+    types = ", ".join(f"{c} long" for c in COLUMNS)
+    return dealt.groupBy("part").applyInArrow(padded, f"{types}, n long")
 
 
 def phrase_counts(windows: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, words, n, total): phrases of one to four words that reach ``least``.
-
-    The total is the number of word occurrences of the language."""
-    counted = windows.groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
-    sums = counted.rollup("lang", *COLUMNS).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
+    """(words as an array of codes, n): phrases of one to four words that reach ``least``."""
+    sums = windows.rollup(*COLUMNS).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
     # a level's last column is kept; padding there means a window that was shorter
     length = LONGEST - F.bit_count("level")
     last = F.element_at(F.array(*COLUMNS), F.greatest(length, F.lit(1)))
-    whole = (length >= 1) & (F.col("n") >= least) & (last != PAD)
-    rows = sums.where(F.col("lang").isNotNull()).where((length == 0) | whole)
-    return rows.select("lang", F.slice(F.array(*COLUMNS), 1, length).alias("words"), "n")
-
+    whole = (length >= 1) & (F.col("n") >= least) & (last != 0)
+    return sums.where(whole).select(F.slice(F.array(*COLUMNS), 1, length).alias("words"), "n")
 
-def _joined(words: Column) -> Column:
-    return F.array_join(words, " ")
 
-
-def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
-    """Candidates with their lowest-scoring cut; products are decimals, so they are exact."""
-    rows = phrases.count()
-    known = phrases.select("lang", _joined("words").alias("part"), F.col("n").alias("f"))
-    known = broadcast_if_small(known, rows)
+def scored(phrases: DataFrame) -> DataFrame:
+    """Candidates (words, a, l, r, score) with their lowest-scoring cut; products are decimals, so they are exact."""
+    known = broadcast_if_small(phrases.select(F.col("words").alias("part"), F.col("n").alias("f")), phrases.count())
     cuts = (
         phrases.where(F.size("words") > 1)
-        .select("lang", "words", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
-        .withColumn("first", _joined(F.slice("words", 1, F.col("k"))))
-        .withColumn("rest", _joined(F.slice("words", F.col("k") + 1, F.size("words"))))
+        .select("words", F.col("n").alias("a"), F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
+        .withColumn("first", F.slice("words", 1, F.col("k")))
+        .withColumn("rest", F.slice("words", F.col("k") + 1, F.size("words")))
     )
-    left = known.select("lang", F.col("part").alias("first"), F.col("f").alias("l"))
-    right = known.select("lang", F.col("part").alias("rest"), F.col("f").alias("r"))
-    parts = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"])
+    left = known.select(F.col("part").alias("first"), F.col("f").alias("l"))
+    right = known.select(F.col("part").alias("rest"), F.col("f").alias("r"))
+    parts = cuts.join(left, "first").join(right, "rest")
     score = F.expr(f"(cast(a as decimal(20,0)) * {SCALE}) div (cast(l as decimal(20,0)) + r)")
     lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
-    best = parts.groupBy("lang", "words", "a").agg(lowest)
-    return best.select("lang", "words", "a", "cut.l", "cut.r", "cut.score").join(F.broadcast(totals), "lang")
+    return parts.groupBy("words", "a").agg(lowest).select("words", "a", "cut.l", "cut.r", "cut.score")
 
 
 def _inner_phrases(words: Column) -> Column:
     """All contiguous phrases of two or more words that are shorter than the whole."""
     sizes = F.sequence(F.lit(2), F.size(words) - 1)
     at_size = lambda m: F.transform(
-        F.sequence(F.lit(1), F.size(words) - m + 1), lambda s: _joined(F.slice(words, s, m))
+        F.sequence(F.lit(1), F.size(words) - m + 1), lambda s: F.slice(words, s, m)
     )
     return F.array_distinct(F.flatten(F.transform(sizes, at_size)))
 
 
 def without_inner(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
     """Candidates that no longer one holds in ``INSIDE_PERCENT`` of their occurrences."""
-    longer = phrases.where(F.size("words") > 2)
     inside = (
-        longer.select("lang", "n", F.explode(_inner_phrases(F.col("words"))).alias("phrase"))
-        .groupBy("lang", "phrase")
+        phrases.where(F.size("words") > 2)
+        .select("n", F.explode(_inner_phrases(F.col("words"))).alias("words"))
+        .groupBy("words")
         .agg(F.max("n").alias("_outer"))
     )
-    joined = candidates.withColumn("phrase", _joined("words")).join(inside, ["lang", "phrase"], "left")
     exact = "decimal(20,0)"
     outer = F.coalesce(F.col("_outer"), F.lit(0)).cast(exact)
     held = outer * 100 >= F.col("a").cast(exact) * INSIDE_PERCENT
-    return joined.where(~held).drop("_outer", "words")
+    return candidates.join(inside, "words", "left").where(~held).drop("_outer")
+
+
+def named(candidates: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Candidates with language and text in place of codes."""
+    names = broadcast_if_small(frequent.select("code", "lang", "word"), frequent.count())
+    figures = ["a", "l", "r", "score"]
+    spread = candidates.select("words", *figures, F.posexplode("words").alias("place", "code"))
+    own = spread.join(names, "code").groupBy("words", *figures).agg(
+        F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("place", "word"))).alias("text")
+    )
+    phrase = F.array_join(F.transform("text", lambda t: t["word"]), " ").alias("phrase")
+    return own.select("lang", phrase, *figures)
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: int | None = TOP) -> DataFrame:
@@ -276,11 +375,13 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"),
     )
-    windows = longest_windows(texts, frequent_cells(texts))
-    counts = materialize(phrase_counts(windows), "phrase_counts")
-    totals = counts.where(F.size("words") == 0).select("lang", F.col("n"))
-    phrases = counts.where(F.size("words") > 0)
-    kept = without_inner(scored(phrases, totals), phrases)
+    counts = materialize(word_counts(texts), "words")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
+    frequent = counts.where(F.col("n") >= LEAST)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    windows = longest_windows(texts, dictionary_of(frequent), next_prime(max(11, -(-total // PARTITION))))
+    phrases = materialize(phrase_counts(windows), "phrase_counts")
+    kept = named(without_inner(scored(phrases), phrases), frequent).join(totals, "lang")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = kept.withColumn("rank", F.row_number().over(order).cast("long"))
     if top is not None:

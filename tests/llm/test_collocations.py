@@ -6,7 +6,6 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
 import pytest
 from stayledger.llm import collocations
 from stayledger.llm.collocations import collocations as phrases_of
@@ -81,24 +80,28 @@ def test_clashing_columns(spark):
 def test_products_beyond_64_bits(spark):
     """Scores are exact for counts near the limit of a long."""
     big = 4_000_000_000_000_000_000
-    rows = [("en", ["a"], big), ("en", ["b"], big - 1), ("en", ["a", "b"], big - 7)]
-    phrases = spark.createDataFrame(rows, "lang string, words array<string>, n long")
-    totals = spark.createDataFrame([("en", 2 * big)], "lang string, n long")
-    row = collocations.scored(phrases, totals).first()
+    rows = [([1], big), ([2], big - 1), ([1, 2], big - 7)]
+    row = collocations.scored(spark.createDataFrame(rows, "words array<long>, n long")).first()
     assert row["score"] == 2_000_000 * (big - 7) // (2 * big - 1)
 
 
-def test_a_full_table_changes_nothing(spark, monkeypatch):
-    """Without any help of the hashed counts the longest windows alone give the same rows."""
+@pytest.mark.parametrize(("hot", "limit"), [(1, 1 << 18), (60, 1 << 18), (1 << 22, 0), (100, 4)])
+def test_dealing_and_numbers_change_nothing(spark, monkeypatch, hot, limit):
+    """Very frequent words dealt by longer prefixes, and words that keep their codes, give the same rows."""
     rows = drawn(3)
-    full = np.full(collocations.CELLS // 8, 255, np.uint8)
-    monkeypatch.setattr(collocations, "frequent_cells", lambda texts: full)
+    monkeypatch.setattr(collocations, "HOT", hot)
+    plain = collocations.dictionary_of
+    monkeypatch.setattr(collocations, "dictionary_of", lambda frequent: plain(frequent, limit))
     assert sorted(tuple(r) for r in phrases_of(frame(spark, rows)).collect()) == brute(rows)
 
 
 def test_windows_are_padded_where_prefixes_are_rare(spark):
-    rows = [("x y z q", "en")] * 35 + [(f"x y u{k} q", "en") for k in range(9)]
+    rows = [("x y z q", "en")] * 35 + [(f"x y u{k} q", "en") for k in range(9)] + [("y q x", "en")] * 3
     texts = frame(spark, rows).selectExpr("lang", "cast(text AS binary) AS text")
-    windows = collocations.longest_windows(texts, collocations.frequent_cells(texts)).groupBy("w1", "w2", "w3", "w4")
-    found = {tuple(r)[:4]: r["sum(n)"] for r in windows.sum("n").collect()}
-    assert found[("x", "y", "z", "q")] == 35 and found[("x", "y", "", "")] == 9 and found[("", "", "", "")] == 9
+    frequent = collocations.word_counts(texts).where("n >= 30")
+    names = {r["code"]: r["word"] for r in frequent.collect()} | {0: "-"}
+    windows = collocations.longest_windows(texts, collocations.dictionary_of(frequent), 11)
+    found = Counter()
+    for row in windows.collect():
+        found[" ".join(names[x] for x in tuple(row)[:4])] += row["n"]
+    assert found == {"x y z q": 35, "x y - -": 9, "y z q -": 35, "y - - -": 12, "z q - -": 35, "q - - -": 47, "x - - -": 3}
