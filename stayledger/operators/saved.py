@@ -1,15 +1,16 @@
-"""Saved aggregates: marts stored as bucketed tables, refreshed in full."""
+"""Saved aggregates: marts stored as bucketed tables in versions, refreshed in full."""
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.operators.marts import build_mart
-from stayledger.session import remove_folder
+from stayledger.sources.versions import Versions
 
 
 @dataclass(frozen=True)
@@ -45,12 +46,35 @@ def _drop(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP {kind} IF EXISTS {name}")
 
 
-def _location(spark: SparkSession, name: str) -> str | None:
-    """The folder of a stored table of that name."""
-    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY"):
-        return None
-    said = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
-    return said["data_type"] if said else None
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _same_shape(spark: SparkSession, name: str, other: str) -> bool:
+    """Whether a name is a stored table with the columns and buckets of the other."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "EXTERNAL":
+        return False
+    a, b = _described(spark, name), _described(spark, other)
+    buckets = ("Num Buckets", "Bucket Columns", "Provider")
+    return all(a.get(k) == b.get(k) for k in buckets) and spark.table(name).schema == spark.table(other).schema
+
+
+def _point(spark: SparkSession, name: str, fresh: str, folder: str) -> None:
+    """Let ``name`` mean the table just written.
+
+    A table of the same shape gets the new folder in one change of the catalog, so the name is
+    always there. Only a name that meant something else is dropped first."""
+    if _same_shape(spark, name, fresh):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.sql(f"DROP TABLE {fresh}")  # the files of an external table stay
+        spark.catalog.refreshTable(name)
+        return
+    _drop(spark, name)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
+def _versions(spark: SparkSession, warehouse: str | None) -> Versions:
+    return Versions(spark, f"{(warehouse or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/saved")
 
 
 def save_aggregate(
@@ -58,32 +82,37 @@ def save_aggregate(
 ) -> DataFrame:
     """Store ``df`` as a table hash-distributed by ``keys`` and return a scan of it.
 
-    Each refresh writes a folder of its own in ``warehouse`` (by default the
-    session's warehouse folder, not the folder for intermediate data). The name
-    is switched over once the write has succeeded, so readers keep the previous
-    content until then and a failed refresh loses nothing; then the previous
-    folder is removed. Refreshes at the same time do not share a name.
+    Each refresh writes a version in ``warehouse`` (by default the session's warehouse folder,
+    not the folder for intermediate data), records it, and lets the name mean it once all is
+    written. A failed refresh changes nothing. Readers of earlier versions keep them:
+    a refresh removes nothing, ``expire_saved`` does, by age.
     """
     spark = df.sparkSession
-    folder = (warehouse or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    run = uuid.uuid4().hex
-    fresh = f"{name}__{run}"
-    previous = _location(spark, name)
+    store = _versions(spark, warehouse)
+    fresh, folder = f"{name}__{uuid.uuid4().hex}", store.new_folder(name)
     (
         df.repartition(buckets, *keys)
         .write.bucketBy(buckets, *keys)
         .sortBy(*keys)
         .format("parquet")
-        .option("path", f"{folder}/{name}-{run}")
+        .option("path", folder)
         .saveAsTable(fresh)
     )
-    _drop(spark, name)
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-    if previous and previous.rstrip("/").rsplit("/", 1)[-1].startswith(f"{name}-"):
-        remove_folder(spark, previous)
+    store.commit({name: {"folders": [folder], "schema": df.schema.jsonValue(), "keys": keys, "buckets": buckets}})
+    _point(spark, name, fresh, folder)
     return spark.table(name)
 
 
+def saved_version(spark: SparkSession, name: str, version: int | None = None, warehouse: str | None = None) -> DataFrame:
+    """A saved aggregate as of a version, in any session; by default the newest."""
+    return _versions(spark, warehouse).read(name, version)
+
+
+def expire_saved(spark: SparkSession, older_than: timedelta, warehouse: str | None = None) -> list[str]:
+    """Remove versions older than ``older_than``, never the newest; returns the folders removed."""
+    return _versions(spark, warehouse).expire(older_than)
+
+
 def refresh(fact: DataFrame, name: str, warehouse: str | None = None) -> DataFrame:
     """Recompute one saved aggregate from the fact and store it."""
     return save_mart(build_mart(fact, SAVED[name].mart), name, warehouse)

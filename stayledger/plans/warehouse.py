@@ -10,6 +10,7 @@ from stayledger.operators.metrics import booking_metrics, fact_bookings
 from stayledger.operators.saved import SAVED, save_mart
 from stayledger.schema import SOURCE_COLUMNS
 from stayledger.session import materialize_all
+from stayledger.sources.versions import Versions
 
 
 def current_bookings(history: DataFrame) -> DataFrame:
@@ -87,15 +88,20 @@ def build_warehouse(history: DataFrame, warehouse: str | None = None) -> dict[st
 PUBLISHED = ["current_bookings", "booking_metrics", "fact_bookings", *DIMENSIONS, *MARTS]
 
 
-def store_warehouse(relations: dict[str, DataFrame], warehouse: str) -> None:
-    """Write the relations to ``<warehouse>/<name>``, where any later session finds them."""
-    for name in PUBLISHED:
-        relations[name].write.mode("overwrite").parquet(f"{warehouse.rstrip('/')}/{name}")
+def store_warehouse(relations: dict[str, DataFrame], warehouse: str) -> int:
+    """Write the relations as one version of the warehouse, where any later session finds them.
 
+    All tables change together once the last is written; a run that fails leaves the version before."""
+    spark = relations[PUBLISHED[0]].sparkSession
+    store = Versions(spark, warehouse)
+    return store.commit({name: store.write(name, relations[name]) for name in PUBLISHED})
 
-def open_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+
+def open_warehouse(spark: SparkSession, warehouse: str, version: int | None = None) -> dict[str, DataFrame]:
     """The relations that ``store_warehouse`` wrote; marts also under the saved aggregates' names."""
-    found = {name: spark.read.parquet(f"{warehouse.rstrip('/')}/{name}") for name in PUBLISHED}
+    store = Versions(spark, warehouse)
+    tables = store.tables(version)
+    found = {name: store.open(tables[name]) for name in PUBLISHED}
     return found | {name: found[spec.mart] for name, spec in SAVED.items()}
 
 

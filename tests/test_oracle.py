@@ -8,9 +8,11 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, differences
+from stayledger.plans.registry import all_queries
 
 FOLDER = Path("/root/testdata/sf0.001")
 QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+LIBRARY = all_queries()
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="driver tables are not there")
 
@@ -20,11 +22,12 @@ def tables():
     return connect(str(FOLDER))
 
 
-def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLE)
+def test_every_query_of_the_library_has_a_twin():
+    """Training-data operators state their own twins, see tests/llm."""
+    assert set(LIBRARY) <= set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLE)
 def test_query_equals_sql(spark, tables, name):
     assert differences(QUERIES[name](spark, str(FOLDER)), tables, ORACLE[name]) == []
 
