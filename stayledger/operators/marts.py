@@ -5,47 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from stayledger.functions.measures import mean, row_count, safe_ratio, total
+from stayledger.functions.measures import Parts, Rows, mean, safe_ratio
 
-Measure = Callable[[], Column]
+Amounts = type[Rows] | type[Parts]
+Measure = Callable[[Amounts], Column]
 
 # Fixed values of the simulated profit and loss: cost per night, share of revenue.
 NIGHT_COST = 20
 REVENUE_COST_SHARE = "0.15"
 
 
-def _bookings() -> Column:
-    return row_count()
-
-
-def _cancelled() -> Column:
-    return total("is_cancelled")
-
-
-def _simulated_cost() -> Column:
+def _simulated_cost(of: Amounts) -> Column:
     share = F.lit(REVENUE_COST_SHARE).cast("decimal(2,2)")
-    return total("total_nights") * NIGHT_COST + total("realized_revenue") * share
+    return of.total("total_nights") * NIGHT_COST + of.total("realized_revenue") * share
 
 
-#: Every measure a mart may publish.
+#: Every measure a mart may publish, from the amounts of a group.
 MEASURES: dict[str, Measure] = {
-    "bookings": _bookings,
-    "total_bookings": _bookings,
-    "cancelled_bookings": _cancelled,
-    "successful_bookings": lambda: _bookings() - _cancelled(),
-    "cancellation_rate": lambda: safe_ratio(_cancelled(), _bookings()),
-    "total_nights": lambda: total("total_nights"),
-    "estimated_revenue": lambda: total("estimated_revenue"),
-    "realized_revenue": lambda: total("realized_revenue"),
-    "avg_adr": lambda: mean("adr"),
-    "average_adr": lambda: mean("adr"),
-    "avg_lead_time": lambda: mean("lead_time"),
-    "avg_total_guests": lambda: mean("total_guests"),
+    "bookings": lambda of: of.rows(),
+    "total_bookings": lambda of: of.rows(),
+    "cancelled_bookings": lambda of: of.total("is_cancelled"),
+    "successful_bookings": lambda of: of.rows() - of.total("is_cancelled"),
+    "cancellation_rate": lambda of: safe_ratio(of.total("is_cancelled"), of.rows()),
+    "total_nights": lambda of: of.total("total_nights"),
+    "estimated_revenue": lambda of: of.total("estimated_revenue"),
+    "realized_revenue": lambda of: of.total("realized_revenue"),
+    "avg_adr": lambda of: mean("adr", of),
+    "average_adr": lambda of: mean("adr", of),
+    "avg_lead_time": lambda of: mean("lead_time", of),
+    "avg_total_guests": lambda of: mean("total_guests", of),
     "simulated_cost": _simulated_cost,
-    "simulated_margin": lambda: total("realized_revenue") - _simulated_cost(),
+    "simulated_margin": lambda of: of.total("realized_revenue") - _simulated_cost(of),
 }
 
 KPIS = ["bookings", "cancelled_bookings", "cancellation_rate", "estimated_revenue", "realized_revenue", "avg_adr"]
@@ -146,11 +139,30 @@ def _require(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(subset=columns) if columns else df
 
 
+def grouped_fact(fact: DataFrame, mart: Mart) -> GroupedData:
+    """The fact's rows by the mart's keys."""
+    keys = [F.expr(expression).alias(name) for name, expression in mart.keys.items()]
+    return _require(fact, mart.required).groupBy(*keys)
+
+
 def kpi_mart(fact: DataFrame, mart: Mart) -> DataFrame:
     """Group the fact by the mart's keys. One shuffle of partial aggregates."""
-    keys = [F.expr(expression).alias(name) for name, expression in mart.keys.items()]
-    measures = [MEASURES[name]().alias(name) for name in mart.measures]
-    return _require(fact, mart.required).groupBy(*keys).agg(*measures)
+    return grouped_fact(fact, mart).agg(*[MEASURES[name](Rows).alias(name) for name in mart.measures])
+
+
+def summed_columns(name: str) -> list[str]:
+    """The fact's columns that a mart's measures add up."""
+    found: list[str] = []
+
+    class Noted(Rows):
+        @staticmethod
+        def total(column: str) -> Column:
+            found.append(column)
+            return Rows.total(column)
+
+    for measure in MARTS[name].measures:
+        MEASURES[measure](Noted)
+    return list(dict.fromkeys(found))
 
 
 def build_mart(fact: DataFrame, name: str) -> DataFrame:

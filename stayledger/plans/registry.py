@@ -20,6 +20,7 @@ from stayledger.operators.history import clean_and_type, dedupe_exact, latest_pe
 from stayledger.operators.marts import DIMENSIONS, MARTS, build_dimension, build_mart
 from stayledger.operators.profile import column_profile, price_spread, revenue_profile
 from stayledger.operators.saved import SAVED, reconcile, refresh
+from stayledger.plans.refresh import merge_rows, open_refreshed
 from stayledger.plans.warehouse import build_warehouse, current_bookings, fact_of, metrics_of, plan_warehouse
 from stayledger.schema import SOURCE_COLUMNS
 from stayledger.session import materialize, new_path
@@ -40,9 +41,13 @@ from stayledger.sources.history import (
     read_history,
 )
 from stayledger.sources.star import DATASET, star_bookings, star_history
+from stayledger.sources.versions import Versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Marts with a query over merged deliveries; the tests hold all of them against a rebuild.
+INCREMENTAL_MARTS = ["mart_daily_booking_revenue", "mart_hotel_performance", "mart_cancellation_analysis", "mart_simulated_pnl"]
+
 SOURCE_ORDER = ["l_orderkey", "l_linenumber", "l_returnflag", "ship_day", "l_partkey", "l_suppkey"]
 
 #: Dashboard selection used by the filtered chart queries.
@@ -208,6 +213,40 @@ def current_vs_distinct(spark: SparkSession, folder: str) -> DataFrame:
     return quality.row_totals(stage(history), current_bookings(history))
 
 
+# --- from what is new ---------------------------------------------------------------
+
+
+def _deliveries(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The star history in three deliveries: earlier batches, late rows of them with a part of the last, the rest.
+
+    The last one also repeats the rows of a tenth of the bookings."""
+    rows = materialize(star_history(spark, folder), "deliveries")
+    part = F.pmod(F.xxhash64("booking_key", "batch_row_number"), F.lit(10))
+    last = F.col("batch_sequence") == 3
+    first = rows.where(~last & (part < 6))
+    second = rows.where((~last & (part >= 6) & (part < 9)) | (last & (part < 5)))
+    third = rows.where((~last & (part == 9)) | (last & (part >= 5)) | (part == 0))
+    return [first, second, third]
+
+
+def _merged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """State and marts after three deliveries, merged one after the other."""
+    store = Versions(spark, new_path(spark, "refreshed"))
+    for rows in _deliveries(spark, folder):
+        version, tables = store.current()
+        store.commit(merge_rows(store, tables, rows, buckets=8), on=version)
+    return open_refreshed(spark, store.root)
+
+
+def current_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    kept = ["booking_key", "batch_id", "batch_sequence", "batch_row_number", "record_hash"]
+    return latest_per_key(_merged(spark, folder)["state"]).select(*kept)
+
+
+def _mart_incremental(name: str) -> Query:
+    return lambda spark, folder: _merged(spark, folder)[name]
+
+
 def _metric_check(check) -> Query:
     return lambda spark, folder: check(metrics(spark, folder))
 
@@ -409,6 +448,8 @@ def all_queries() -> dict[str, Query]:
         "fact_bookings": fact,
         **{name: _dimension(name) for name in DIMENSIONS},
         **{name: _mart(name) for name in MARTS},
+        "current_incremental": current_incremental,
+        **{f"{name}_incremental": _mart_incremental(name) for name in INCREMENTAL_MARTS},
         **{name: _saved(name) for name in SAVED},
         "reconcile_saved": reconcile_saved,
         "check_suite": check_suite,

@@ -15,7 +15,8 @@ from stayledger.sources.batches import BATCH_GLOB, history_rows, list_batch_file
 _LOG = logging.getLogger(__name__)
 
 MANIFEST_SCHEMA = (
-    "source_object_path string, file_bytes long, file_hash string, batch_id string, row_count long, loaded_at timestamp"
+    "source_object_path string, file_bytes long, file_hash string, batch_id string, row_count long, loaded_at timestamp, "
+    "etl_dates array<string>"
 )
 
 
@@ -136,15 +137,19 @@ def load_files(files: DataFrame, path: str, force: bool = False) -> int:
         "batch_id",
         F.col("rows_found").alias("row_count"),
         F.current_timestamp().alias("loaded_at"),
+        "etl_dates",
     )
     record.write.mode("append").parquet(manifest_path(path))
     return appended
 
 
 def _arrivals(rows: DataFrame, expected: DataFrame) -> DataFrame:
-    """Rows, batch and hash of the expected files that the history rows have."""
+    """Rows, batch, hash and load dates of the expected files that the history rows have."""
     per_file = rows.groupBy("source_object_path").agg(
-        F.count(F.lit(1)).alias("rows_found"), F.min("batch_id").alias("batch_id"), F.min("file_hash").alias("file_hash")
+        F.count(F.lit(1)).alias("rows_found"),
+        F.min("batch_id").alias("batch_id"),
+        F.min("file_hash").alias("file_hash"),
+        F.collect_set("etl_date").alias("etl_dates"),
     )
     return per_file.join(expected, "source_object_path")
 
