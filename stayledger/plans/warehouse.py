@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.operators.history import current_state, dedupe_exact, stage
+from stayledger.operators.incremental import KEY
 from stayledger.operators.marts import DIMENSIONS, MARTS, OF_MART, build_dimension, build_mart, of_mart
 from stayledger.operators.metrics import booking_metrics, fact_bookings
 from stayledger.operators.saved import SAVED, save_mart
 from stayledger.schema import SOURCE_COLUMNS
-from stayledger.session import materialize_all
+from stayledger.session import materialize_all, new_path
 from stayledger.sources.versions import Versions
 
 
@@ -49,7 +50,21 @@ def plan_warehouse(history: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build_warehouse(history: DataFrame, warehouse: str | None = None) -> dict[str, DataFrame]:
+def co_partitioned(relations: dict[str, DataFrame], keys: list[str], buckets: int) -> dict[str, DataFrame]:
+    """Stored relations that are all distributed by ``keys``: what groups or joins by them needs no shuffle.
+
+    All rows of a key stand in one bucket; rows should be narrow where a key may have very many."""
+    spark = next(iter(relations.values())).sparkSession
+    store = Versions(spark, new_path(spark, "base"))
+    found = {}
+    for name, df in relations.items():
+        found[name] = store.open(store.write_bucketed(name, [df.repartition(buckets, *keys)], keys, buckets))
+    return found
+
+
+def build_warehouse(
+    history: DataFrame, warehouse: str | None = None, buckets: int | None = None
+) -> dict[str, DataFrame]:
     """The same relations with every shared step done once and stored.
 
     Written to the working folder are: the staged rows without their 32 source
@@ -60,13 +75,19 @@ def build_warehouse(history: DataFrame, warehouse: str | None = None) -> dict[st
     bookings. Dimensions that are the keys of a mart, and the saved aggregates,
     are taken from the stored marts, so bookings are scanned once for each mart
     and for the two dimensions left. Saved aggregates go to ``warehouse``.
+
+    Staged and current rows are both stored by booking in ``buckets`` (by default the session's
+    shuffle partitions), so uniqueness, states per batch and distinct bookings are checked bucket by bucket.
     """
     staged = stage(history)
-    base = materialize_all(
+    spark = history.sparkSession
+    base = co_partitioned(
         {
             "staged_history": staged.drop(*SOURCE_COLUMNS),
             "current_bookings": current_state(dedupe_exact(staged)),
-        }
+        },
+        [KEY],
+        buckets or int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
     metrics = booking_metrics(base["current_bookings"])
     serving = serving_relations(metrics)
