@@ -104,8 +104,8 @@ def _announced_part(own: np.ndarray) -> np.ndarray:
 def sets_of(rows: DataFrame, make=shingle_sets) -> DataFrame:
     """(doc, n, set_id, last) by document; ``last`` is the greatest of the lowest fifth, as signed.
 
-    A column ``row`` of ``rows`` comes along."""
-    keys = [c for c in ("doc", "row") if c in rows.columns]
+    Columns ``row`` and ``key`` of ``rows`` come along."""
+    keys = [c for c in ("doc", "row", "key") if c in rows.columns]
 
     def run(batches):
         for batch in batches:
@@ -174,14 +174,24 @@ def node_id(set_ids: np.ndarray, bands: np.ndarray) -> np.ndarray:
     return mix(set_ids.astype(np.uint64) ^ mix(bands.astype(np.uint64) + np.uint64(1))).astype(np.int64)
 
 
-BAND_BITS = np.uint64(48)  # a code has 32 bits and those of its partition; its band stands above
+BAND_LIMIT = 1 << 7  # bands of sets up to 10^12 shingles
+
+
+def band_shift(code_parts: int) -> np.uint64:
+    """A code has 32 bits and those of its partition; its band stands above them."""
+    shift = 31 + code_parts.bit_length()
+    if (1 << (64 - shift)) < BAND_LIMIT:
+        raise ValueError(f"{code_parts} partitions of codes leave no room for the bands of sets")
+    return np.uint64(shift)
+
+
 NODES = "node long, set_id long, n long, last long, need long, codes binary"
 ROUNDS = 2
 
 
 def banded(alive: DataFrame, code_parts: int) -> DataFrame:
     """Each set in its size band and the next: two linked sets stand in one band together."""
-    shift = code_shift(code_parts)
+    shift, high = code_shift(code_parts), band_shift(code_parts)
 
     def run(batches):
         for batch in batches:
@@ -190,7 +200,7 @@ def banded(alive: DataFrame, code_parts: int) -> DataFrame:
             codes = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("codes")]
             for step in (0, 1):
                 bands = band_of(n) + step
-                above = bands.astype(np.uint64) << BAND_BITS
+                above = bands.astype(np.uint64) << high
                 columns = [node_id(names, bands), names, n, (above | last).astype(np.int64), batch.column("need").to_numpy()]
                 packed = pa.array([pack(c | a) for c, a in zip(codes, above)], pa.binary())
                 yield pa.record_batch([*[pa.array(c, pa.int64()) for c in columns], packed], names=NODES.replace(" long", "").replace(" binary", "").split(", "))
@@ -371,20 +381,25 @@ def _compare(placed: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def tokens_of(rows: DataFrame, wanted: DataFrame, make=shingle_sets) -> DataFrame:
-    """(set_id, tokens) of wanted (doc, set_id), stored."""
+    """(set_id, tokens) of wanted (doc, key, set_id), stored.
+
+    A set is looked for in rows of one id and one text. Where such a row is repeated, each task
+    gives its set once."""
 
     def run(batches):
+        seen = set()
         for batch in batches:
             want = batch.column("set_id").to_numpy()
             names, tokens = [], []
             for first, data, offsets in chunks(batch.column("text")):
                 for k, own in enumerate(make(data, offsets)):
-                    if _set_id(own) == want[first + k]:
+                    if int(want[first + k]) not in seen and _set_id(own) == want[first + k]:
+                        seen.add(int(want[first + k]))
                         names.append(want[first + k])
                         tokens.append(pack(own))
             yield pa.record_batch([pa.array(names, pa.int64()), pa.array(tokens, pa.binary())], names=["set_id", "tokens"])
 
-    found = rows.join(wanted, "doc").select("set_id", "text").mapInArrow(run, "set_id long, tokens binary")
+    found = rows.join(wanted, ["doc", "key"]).select("set_id", "text").mapInArrow(run, "set_id long, tokens binary")
     return materialize(found, "jaccard_tokens")
 
 
@@ -431,8 +446,9 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     """(node, root) for sets that are linked with another."""
     code_parts, text_parts = partition_counts(rows)
     first = sets.where("n > 0").groupBy("set_id").agg(
-        F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("last").alias("last")
+        F.min(F.struct("doc", "key")).alias("at"), F.first("n").alias("n"), F.first("last").alias("last")
     )
+    first = first.select("set_id", "n", "last", "at.doc", "at.key")
     # a partner has four fifths of the tokens at least; a few may share their first bits
     spare = F.floor(F.col("n") / 1000) + 1
     need = F.greatest(F.floor(F.floor(F.col("n") * SURPLUS / 100) * PER_CENT / 100) - spare, F.lit(1))
@@ -460,7 +476,7 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
         F.col("set_id").alias("label"),
     )
     wanted = materialize(
-        placed.select("set_id").distinct().join(alive.select("set_id", "doc"), "set_id"), "jaccard_wanted"
+        placed.select("set_id").distinct().join(alive.select("set_id", "doc", "key"), "set_id"), "jaccard_wanted"
     )
     # while the wanted ids are few, texts need not be shuffled to find them
     tokens = tokens_of(rows, broadcast_if_small(wanted, wanted.count(), row_bytes=64), make)
@@ -495,11 +511,16 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     return components(links.union(more))
 
 
+def with_key(rows: DataFrame) -> DataFrame:
+    """A hash of the text: rows of one id, null ids too, are told apart by it."""
+    return rows.withColumn("key", F.xxhash64("text"))
+
+
 def linked_documents(docs: DataFrame, id_col="doc_id", text_col="text", make=shingle_sets) -> DataFrame:
     """(doc, n, set_id, component) by row; the component is the least id that links lead to.
 
     ``make`` gives the texts' sets of hashes, in order; by default those of their shingles."""
-    rows = rows_by_document(docs, id_col, text_col)
+    rows = with_key(rows_by_document(docs, id_col, text_col))
     return _with_components(rows, sets_of(rows, make), make).select("doc", "n", "set_id", "component")
 
 
@@ -513,7 +534,7 @@ def _with_components(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> Dat
     whole = named.groupBy("root").agg(F.min("least").alias("component"))
     # equal sets and large components are hot keys here: narrow rows, which Spark splits
     found = materialize(named.join(whole, "root").select("set_id", "root", "component"), "jaccard_components")
-    names = sets.drop("last").columns
+    names = sets.drop("last", "key").columns
     full = sets.where("n > 0").join(found, "set_id").select(*names, "root", "component")
     alone = sets.where("n = 0").select(*names, F.col("set_id").alias("root"), F.col("doc").alias("component"))
     return full.union(alone)
@@ -529,7 +550,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each group of rows that are linked, directly or not: one with the least id."""
     if bad := [c for c in docs.columns if c.lower().startswith("_j_")]:
         raise ValueError(f"reserved column names: {bad}")
-    rows = rows_by_document(docs, more=[_row_key(docs).alias("row")])
+    rows = with_key(rows_by_document(docs, more=[_row_key(docs).alias("row")]))
     found = materialize(_with_components(rows.drop("row"), sets_of(rows)), "jaccard_documents")
     keys = [F.col("doc").alias("_j_doc"), F.col("row").alias("_j_row")]
     # several rows with the least id of their group: the one with the least key stays

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_llm_helpers import odd_rows, words_of
 
 from stayledger.llm import components, jaccard_join
@@ -163,3 +164,42 @@ def test_components(spark):
     got = components.components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
     assert sorted((r[0], r[1]) for r in got) == sorted((x, find(x)) for x in list(root))
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("code_parts", [11, 131071, 131101, 1 << 22, (1 << 26) - 5])
+def test_codes_keep_their_order_beside_the_band(spark, code_parts):
+    """Whatever the number of partitions, the lowest fifth of a set is told from the rest."""
+    rng = np.random.default_rng(3)
+    shift, rows, wanted = jaccard_join.code_shift(code_parts), [], {}
+    for k in range(40):
+        own = np.sort(rng.integers(0, 1 << 64, 30 + 9 * k, dtype=np.uint64))
+        low = jaccard_join._lowest(len(own))
+        rows.append((k + 1, len(own), int(own[low - 1].astype(np.int64)), 1, jaccard_join.pack(own >> shift)))
+        wanted[k + 1] = low
+    alive = spark.createDataFrame(rows, "set_id long, n long, last long, need long, codes binary")
+    nodes = jaccard_join.banded(alive, code_parts).toArrow().to_batches()
+    name = {n: s for b in nodes for n, s in zip(b.column("node").to_pylist(), b.column("set_id").to_pylist())}
+    found = {}
+    for near, _ in jaccard_join._spread(nodes, all_codes=False):
+        for node in near.tolist():
+            found[node] = found.get(node, 0) + 1
+    assert len(found) == 80 and all(wanted[name[node]] == n for node, n in found.items())
+
+
+def test_too_many_partitions_are_refused():
+    with pytest.raises(ValueError, match="no room"):
+        jaccard_join.band_shift(1 << 27)
+
+
+def test_near_copies_without_ids_are_joined_once(spark):
+    """Near copies under null: the texts that are read for their tokens are no more than the rows."""
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, f"{text} x{k}") for k in range(300)] + [(None, text)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = jaccard_join.with_key(jaccard_join.rows_by_document(docs))
+    sets = jaccard_join.sets_of(rows)
+    wanted = sets.groupBy("set_id").agg(F.min("doc").alias("doc"), F.min("key").alias("key"))
+    assert rows.join(wanted, ["doc", "key"]).count() == 350
+    tokens = jaccard_join.tokens_of(rows, wanted)
+    assert tokens.select("set_id").distinct().count() == 301 and tokens.count() <= 301 + 8
+    assert {r["component"] for r in jaccard_join.linked_documents(docs).collect()} == {jaccard_join.NO_ID}
