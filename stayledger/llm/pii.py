@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayledger.llm.units import binary_parts
+from stayledger.llm.units import chunks
 from stayledger.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -133,28 +133,32 @@ def identifiers(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
 
 
 def _scan(batches):
-    """Adds the spans and the occurrences with their patterns to each batch; needs ``_pii_text``."""
+    """Adds the spans and the occurrences with their patterns; needs ``_pii_text``.
+
+    Texts are read in runs of bounded size, and each run goes back on its own."""
     kinds = [pa.field(f.name, _ARROW[f.name]) for f in FOUND]
     for batch in batches:
-        column = batch.column("_pii_text")
-        data, offsets = binary_parts(column)
-        telling = np.append(0, np.cumsum((data - np.uint8(48) < 10) | (data == 64)))
-        some = telling[offsets[1:]] > telling[offsets[:-1]]
-        spans, seen = [], []
-        for row, any_here in enumerate(some.tolist()):
-            own, here = [], []
-            if any_here:
-                text = data[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "replace")
-                own = base_spans(text)
-                for s, e, seed in [(s, e, True) for _, s, e in own] + [(s, e, False) for s, e in identifiers(text, own)]:
-                    here.append({"start": s, "end": e, "seed": seed, "instance": text[s:e], "patterns": contexts(text, s, e)})
-            spans.append([{"kind": k, "start": s, "end": e} for k, s, e in own])
-            seen.append(here)
-        keep = [n for n in batch.schema.names if n != "_pii_text"]
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(n) for n in keep], pa.array(spans, kinds[0].type), pa.array(seen, kinds[1].type)],
-            schema=pa.schema([*[batch.schema.field(n) for n in keep], *kinds]),
-        )
+        for first, data, offsets in chunks(batch.column("_pii_text")):
+            yield _scan_run(batch.slice(first, len(offsets) - 1), data, offsets, kinds)
+
+
+def _scan_run(batch, data, offsets, kinds):
+    telling = np.append(0, np.cumsum((data - np.uint8(48) < 10) | (data == 64), dtype=np.int32))
+    some = telling[offsets[1:]] > telling[offsets[:-1]]
+    spans, seen = [], []
+    for row, any_here in enumerate(some.tolist()):
+        own, here = [], []
+        if any_here:
+            text = data[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "replace")
+            own = base_spans(text)
+            for s, e, seed in [(s, e, True) for _, s, e in own] + [(s, e, False) for s, e in identifiers(text, own)]:
+                here.append({"start": s, "end": e, "seed": seed, "instance": text[s:e], "patterns": contexts(text, s, e)})
+        spans.append([{"kind": k, "start": s, "end": e} for k, s, e in own])
+        seen.append(here)
+    return pa.RecordBatch.from_arrays(
+        [*batch.columns, pa.array(spans, kinds[0].type), pa.array(seen, kinds[1].type)],
+        schema=pa.schema([*batch.schema, *kinds]),
+    )
 
 
 _SPAN = [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]
@@ -199,8 +203,15 @@ def learnt_instances(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return instances.where(F.col("found") >= INSTANCE_LIMIT).select("instance")
 
 
-def find(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns in ``keep`` (all by default) with ``_pii_spans``: kind, start, end of every span."""
+def _without_text(batches):
+    for batch in _scan(batches):
+        yield batch.drop_columns(["_pii_text"])
+
+
+def find(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
+    """The columns in ``keep`` (all by default) with ``_pii_spans``: kind, start, end of every span.
+
+    ``with_text``: the text that was read comes along as ``_pii_text``, so that it need not stand in ``keep``."""
     if bad := [c for c in docs.columns if c.lower().startswith("_pii_")]:
         raise ValueError(f"reserved column names: {bad}")
     keep = docs.columns if keep is None else keep
@@ -209,8 +220,9 @@ def find(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
         F.monotonically_increasing_id().alias("_pii_row"),
         F.col(text_col).cast("binary").alias("_pii_text"),
     )
-    kept = [f for f in source.schema if f.name != "_pii_text"]
-    scanned = materialize(source.mapInArrow(_scan, T.StructType([*kept, *FOUND])), "pii_scanned")
+    kept = [f for f in source.schema if with_text or f.name != "_pii_text"]
+    scan = _scan if with_text else _without_text
+    scanned = materialize(source.mapInArrow(scan, T.StructType([*kept, *FOUND])), "pii_scanned")
     seen = scanned.select("_pii_row", F.explode("_pii_seen").alias("x")).select("_pii_row", "x.*")
     learnt = learnt_instances(seen)
     span = F.struct(F.lit(LEARNT).alias("kind"), "start", "end")
@@ -230,11 +242,12 @@ def find(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None)
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with each span replaced by its kind in angle brackets."""
-    found = find(docs, text_col)
+    others = [c for c in docs.columns if c != text_col]
+    found = find(docs, text_col, keep=others, with_text=True)
     ordered = F.array_sort(
         F.transform("_pii_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
-    text = F.col(f"`{text_col}`")
+    text = F.col("_pii_text").cast(docs.schema[text_col].dataType)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def put(state, span):
