@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stayledger.llm import decontaminate, jaccard_join, mixing, pii, quality
+from stayledger.llm.common import arrow_rows
 from stayledger.session import materialize
 
+#: Whole texts that pass to a Python worker at once while the join runs its jobs.
+TEXTS_AT_ONCE = 1000
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labelled ones among them."""
@@ -19,7 +23,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near copies."""
-    return jaccard_join.keep_one(docs)
+    with arrow_rows(spark, TEXTS_AT_ONCE):
+        return jaccard_join.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.llm.units import pack
 
 LANES = 64
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PARTS = "block long, sums binary"
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs that run inside pass at most so many rows to a Python worker at once."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def _add(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(x.as_py(), np.float64) for x in table.column("sums"))
     return pa.table({"block": table.column("block")[:1], "sums": pa.array([pack(total)], pa.binary())})
