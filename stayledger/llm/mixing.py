@@ -1,13 +1,13 @@
 """Mixing sources to target weights with DataFrame functions only.
 
 Words are summed per source, targets follow from weights and caps, and each document is
-emitted ``floor(rate)`` times plus once more when a draw seeded by the hash of its id falls
-below the rest of the rate. The draws come from a few seeds; each source uses the seed whose
+emitted ``floor(rate)`` times plus once more when a draw seeded by the hash of its id and text
+falls below the rest of the rate. The draws come from a few seeds; each source uses the seed whose
 total comes nearest to its target, which keeps small sources with long documents close.
 
 Defined cases: a null text has size 0 and is emitted by its source's rate like any other; a
-null source is a source of its own, last in order; rows with equal ids draw alike and each
-counts; an empty table gives no rows; further columns pass through (names starting with
+null source is a source of its own, last in order; rows with equal or null ids draw by their
+texts, and only rows equal in id and text draw alike (each counts); an empty table gives no rows; further columns pass through (names starting with
 ``_mix_`` are reserved and refused).
 """
 
@@ -36,9 +36,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def draw(doc_id: Column, seed: int) -> Column:
-    """A number in [0, 1) from the id's hash."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(SALTS[seed // 4])))
+def draw_key(doc_id: Column, text: Column) -> Column:
+    """What a document's draws depend on: its id and its text, so that rows without ids draw apart."""
+    parts = (F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(F.md5(text), F.lit("")))
+    return F.concat_ws(":", *parts)
+
+
+def draw(key: Column, seed: int) -> Column:
+    """A number in [0, 1) from the hash of a key."""
+    digest = F.md5(F.concat(key, F.lit(SALTS[seed // 4])))
     return F.conv(F.substring(digest, 8 * (seed % 4) + 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
@@ -97,7 +103,7 @@ def _choose(narrow: DataFrame, **how) -> tuple[DataFrame, int, int]:
     )
     rest = F.col("rate") - whole
     extra = [
-        F.sum(F.when(draw(F.col("id"), seed) < rest, F.col("size")).otherwise(0)).alias(f"_{seed}")
+        F.sum(F.when(draw(F.col("key"), seed) < rest, F.col("size")).otherwise(0)).alias(f"_{seed}")
         for seed in range(SEEDS)
     ]
     drawn = sized.groupBy("source").agg(*extra).withColumnRenamed("source", "_source")
@@ -117,25 +123,28 @@ def _choose(narrow: DataFrame, **how) -> tuple[DataFrame, int, int]:
     return materialize(chosen, "mix_chosen"), rows, width
 
 
-def _with_copies(df: DataFrame, choice: tuple[DataFrame, int, int], id_col: str, source_col: str) -> DataFrame:
+def _with_copies(df: DataFrame, choice: tuple[DataFrame, int, int], key: Column) -> DataFrame:
     number = F.lit(1.0)
     for seed in range(SEEDS):
-        number = F.when(F.col("_mix_seed") == seed, draw(F.col(id_col), seed)).otherwise(number)
+        number = F.when(F.col("_mix_seed") == seed, draw(key, seed)).otherwise(number)
     whole = F.floor("_mix_rate")
     copies = whole + (number < F.col("_mix_rate") - whole).cast("long")
     chosen = broadcast_if_small(*choice)
-    return df.join(chosen, F.col(source_col).eqNullSafe(F.col("_mix_source"))).withColumn("_mix_copies", copies)
+    return df.join(chosen, F.col("source").eqNullSafe(F.col("_mix_source"))).withColumn("_mix_copies", copies)
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
     size = word_count(F.col("text"))
-    return materialize(docs.select(F.col("doc_id").alias("id"), "source", size.alias("size")), "mix_sizes")
+    key = draw_key(F.col("doc_id"), F.col("text")).alias("key")
+    return materialize(docs.select(F.col("doc_id").alias("id"), "source", size.alias("size"), key), "mix_sizes")
 
 
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix: each document as often as it is taken, with its own columns."""
     _check_names(docs)
-    planned = _with_copies(docs, _choose(_sizes(docs), **how), "doc_id", "source").where("_mix_copies > 0")
+    key = draw_key(F.col("doc_id"), F.col("text"))
+    keyed = docs.withColumn("_mix_key", key)
+    planned = _with_copies(keyed, _choose(_sizes(docs), **how), F.col("_mix_key")).where("_mix_copies > 0")
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))).alias("_mix_copy")
     return planned.select(*[F.col(f"`{c}`") for c in docs.columns], times).drop("_mix_copy")
 
@@ -143,7 +152,7 @@ def mix_documents(docs: DataFrame, **how) -> DataFrame:
 def mix_digest(docs: DataFrame, **how) -> DataFrame:
     """Per document its size, its source's size and target, and the words the mix takes from it."""
     sizes = _sizes(docs)
-    planned = _with_copies(sizes, _choose(sizes, **how), "id", "source")
+    planned = _with_copies(sizes, _choose(sizes, **how), F.col("key"))
     return planned.select(
         F.col("id").alias("doc_id"),
         "size",

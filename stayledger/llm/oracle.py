@@ -3,7 +3,8 @@ r"""SQL for DuckDB, written from the contracts and not from the operators' code.
 MIX_SOURCES = r"""
 WITH sized AS (
   SELECT doc_id, source,
-         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '') AS key
   FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighted AS (
@@ -34,7 +35,7 @@ rates AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets),
 draws AS (
   SELECT doc_id, source, size, seed,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || substr('abcd', seed // 4 + 1, 1)),
+    ('0x' || substr(md5(key || substr('abcd', seed // 4 + 1, 1)),
                     8 * (seed % 4) + 1, 8))::UBIGINT::DOUBLE / 4294967296.0 AS u
   FROM sized, range(16) AS s(seed)),
 tried AS (

@@ -46,6 +46,20 @@ def test_mix_emits_what_the_digest_says(spark, make_docs):
         mixing.mix_documents(docs.withColumnRenamed("rate", "_mix_rate"))
 
 
+def test_rows_without_ids_meet_the_target(spark, make_docs):
+    """A third of the rows and one source whole have no id, and one id stands on many rows."""
+    rows = [(k, f"own {k} " + "w " * 20, "a") for k in range(3000)]
+    rows += [(None, f"none {k} " + "w " * 20, "b") for k in range(3000)]
+    rows += [(7, f"same {k} " + "w " * 20, "c") for k in range(3000)]
+    docs = make_docs(rows)
+    con, sql = run_sql(oracle.MIX_SOURCES, documents=docs)
+    digest = mixing.mix_digest(docs)
+    assert differences(digest, con, sql) == []
+    per_source = digest.groupBy("target").agg({"taken": "sum"}).collect()
+    assert len(per_source) == 3
+    assert all(abs(r["sum(taken)"] - r["target"]) <= 0.02 * r["target"] for r in per_source)
+
+
 def test_targets(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 10), ("c", 1000), (None, 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
