@@ -250,16 +250,26 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def fit(pooled_docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"):
-    """A model from labelled documents outside the held-out fold, ``SAMPLE`` at most."""
+def training_rows(pooled_docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Id, vector and label of about ``SAMPLE`` labelled documents at most, none of the held-out fold.
+
+    Rows of one id draw their lots by their vectors, and equal ones count once. So an id or a
+    group of copies with a large part of all rows brings its share or one row, never all.
+    """
     marks = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy(F.col("doc_id").alias("_q_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("_q_y"))
     known = pooled_docs.join(marks, F.col(id_col) == F.col("_q_id")).select("_q_id", "_q_vector", "_q_y")
-    lot = F.pmod(F.xxhash64("_q_id"), F.lit(1 << 20))
+    lot = F.pmod(F.xxhash64("_q_id", "_q_vector"), F.lit(1 << 20))
     n = known.count()
     if n > SAMPLE:  # by hash on the executors; the driver gets about as many as it may
         known = known.where(lot < int((1 << 20) * SAMPLE / n))
-    rows = sorted(known.collect(), key=lambda r: (r["_q_id"], r["_q_vector"]))[:SAMPLE]
+    return known.distinct()
+
+
+def fit(pooled_docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"):
+    """A model from the training rows, cut to ``SAMPLE``."""
+    found = training_rows(pooled_docs, labels, id_col).collect()
+    rows = sorted(found, key=lambda r: (r["_q_id"], r["_q_vector"]))[:SAMPLE]
     y = np.array([r["_q_y"] for r in rows], float)
     if len(rows) < 10 or y.min() == y.max():
         return Constant((y.sum() + 1) / (len(y) + 2))

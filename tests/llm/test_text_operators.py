@@ -356,6 +356,20 @@ def test_quality(spark, make_docs):
     assert kept.count() == sum(r.predicted for r in first.values())
 
 
+def test_training_rows_are_bounded_under_a_hot_id(spark, make_docs, monkeypatch):
+    """A labelled id on a third of the rows, with copies and with own texts, brings its share at most."""
+    monkeypatch.setattr(quality, "SAMPLE", 100)
+    hot = next(d for d in range(1, 400) if not fold(d))
+    rows, labels = quality_rows(600)
+    for extra in ([(hot, "tor mel")] * 300, [(hot, f"tor mel {k}") for k in range(300)]):
+        docs = make_docs(rows + extra)
+        marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        stored = quality.pooled(docs, ["doc_id"], quality.word_vectors(docs))
+        found = quality.training_rows(stored, marks).collect()
+        assert 30 <= len(found) <= 150 and not any(fold(r["_q_id"]) for r in found)
+        assert len(found) == len({(r["_q_id"], bytes(r["_q_vector"])) for r in found})
+
+
 def test_quality_without_labels(spark, make_docs):
     marks = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     docs = make_docs(odd_rows())
