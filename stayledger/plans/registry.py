@@ -34,6 +34,7 @@ from stayledger.sources.batches import (
 )
 from stayledger.sources.history import (
     batch_counts,
+    content_validation,
     files_without_rows,
     ingest,
     load_validation,
@@ -407,6 +408,12 @@ def validated_load(spark: SparkSession, folder: str) -> DataFrame:
     return load_validation(read_batch_files(spark, root), read_history(spark, history))
 
 
+def validated_content(spark: SparkSession, folder: str) -> DataFrame:
+    """The star history's content per batch against what several loads of its files left."""
+    history, _ = _late_load(spark, folder)
+    return content_validation(star_history(spark, folder), read_history(spark, history))
+
+
 def absent_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Batches of the change set that the star history does not have."""
     return missing_batches(change_batches(spark, folder), star_history(spark, folder))
@@ -491,6 +498,7 @@ def all_queries() -> dict[str, Query]:
         "ingest_hotel_mart": ingested_hotel_mart,
         "ingest_checks": ingested_checks,
         "ingest_validation": validated_load,
+        "ingest_content_validation": validated_content,
         "landed_files": landed_files,
         "landed_hashes": landed_hashes,
         "profile_missing": profile_missing,

@@ -150,6 +150,27 @@ def test_new_batch_is_added_to_old_ones(spark, files, tmp_path):
     ]
 
 
+def test_content_validation_finds_what_counts_hide(spark, loaded, files):
+    """Changed, swapped, moved and doubled values with equal counts; order and layout do not matter."""
+    expected, history = B.read_batches(spark, str(files)), H.read_history(spark, loaded)
+    fine = H.content_validation(expected, history.repartition(5, "adr")).collect()
+    assert len(fine) == 5 and all(r.matches and r.expected_digest == r.actual_digest for r in fine)
+    first = "batch_id LIKE 'batch_001%'"
+    price = F.when(F.expr(f"{first} AND agent = '003'"), F.lit("1.00")).otherwise(F.col("adr"))
+    pair = {"meal": F.col("country"), "country": F.col("meal")}
+    moved = {"meal": F.concat("meal", F.substring("country", 1, 1)), "country": F.expr("substring(country, 2)")}
+    one, other = (history.where(f"{first} AND agent = '{a}'") for a in ("001", "002"))
+    doubled = history.where(f"NOT ({first} AND agent = '002')").unionByName(one.limit(other.count()))
+    for wrong in (history.withColumn("adr", price), history.withColumns(pair), history.withColumns(moved), doubled):
+        found = H.content_validation(expected, wrong).collect()
+        assert all(r.expected_rows == r.actual_rows for r in found)
+        assert [r.batch_id for r in found if not r.matches]
+    absent = H.content_validation(expected, history.where("false")).collect()
+    assert {(r.actual_rows, r.actual_digest, r.matches) for r in absent} == {(0, "", 0)}
+    per_file = H.content_validation(B.with_lineage(expected), history, "source_object_path").collect()
+    assert len(per_file) == 5 and all(r.matches for r in per_file)
+
+
 def test_file_summary(spark, files):
     rows = B.batch_file_summary(B.read_batches(spark, str(files))).collect()
     found = {r.batch_id: (r.batch_sequence, r.etl_date, r.raw_batch_sequence, r.row_count) for r in rows}
