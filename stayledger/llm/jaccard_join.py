@@ -187,6 +187,8 @@ def band_shift(code_parts: int) -> np.uint64:
 
 NODES = "node long, set_id long, n long, last long, need long, codes binary"
 ROUNDS = 2
+#: A round of pruning is followed by another if it removed this share of the nodes.
+WORTH = 0.1
 
 
 def banded(alive: DataFrame, code_parts: int) -> DataFrame:
@@ -454,9 +456,12 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     need = F.greatest(F.floor(F.floor(F.col("n") * SURPLUS / 100) * PER_CENT / 100) - spare, F.lit(1))
     alive = shared_tokens(rows, code_parts, text_parts, make).join(first.withColumn("need", need), "set_id")
     alive = materialize(alive.where("shared >= need"), "jaccard_alive")
-    nodes = banded(alive, code_parts)
+    nodes, left = banded(alive, code_parts), 2 * alive.count()
     for _ in range(ROUNDS):
-        nodes = pruned(nodes, code_parts, text_parts)
+        nodes, before = pruned(nodes, code_parts, text_parts), left
+        left = nodes.count()
+        if left > (1 - WORTH) * before:
+            break  # another round would find as little
     grouped = materialize(clusters(nodes, code_parts), "jaccard_clusters")
     sizes = grouped.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight"))
     sizes = sizes.where("sets > 1").withColumn(
