@@ -185,7 +185,7 @@ def band_shift(code_parts: int) -> np.uint64:
     return np.uint64(shift)
 
 
-NODES = "node long, set_id long, n long, last long, need long, codes binary"
+NODES = "node long, set_id long, n long, last long, need long, step long, codes binary"
 ROUNDS = 2
 #: A round of pruning is followed by another if it removed this share of the nodes.
 WORTH = 0.1
@@ -204,6 +204,7 @@ def banded(alive: DataFrame, code_parts: int) -> DataFrame:
                 bands = band_of(n) + step
                 above = bands.astype(np.uint64) << high
                 columns = [node_id(names, bands), names, n, (above | last).astype(np.int64), batch.column("need").to_numpy()]
+                columns.append(np.full(len(names), step, np.int64))
                 packed = pa.array([pack(c | a) for c, a in zip(codes, above)], pa.binary())
                 yield pa.record_batch([*[pa.array(c, pa.int64()) for c in columns], packed], names=NODES.replace(" long", "").replace(" binary", "").split(", "))
 
@@ -231,11 +232,11 @@ def pruned(nodes: DataFrame, code_parts: int, text_parts: int) -> DataFrame:
     shared = shared_codes(nodes.mapInArrow(announce, CODES), text_parts, 0, False)
     kept = shared.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
     kept = kept.withColumnRenamed("set_id", "node").join(nodes.drop("codes"), "node").where("shared >= need")
-    return materialize(kept.select("node", "set_id", "n", "last", "need", "codes"), "jaccard_nodes")
+    return materialize(kept.select("node", "set_id", "n", "last", "need", "step", "codes"), "jaccard_nodes")
 
 
 def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
-    """(node, set_id, n, cluster): nodes that may be linked with others."""
+    """(node, set_id, n, step, cluster): nodes that may be linked with others."""
 
     def announce(batches):
         for near, codes in _spread(batches, all_codes=False):
@@ -253,7 +254,7 @@ def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     joined = components(nodes.mapInArrow(announce, CODES).groupBy("part").applyInArrow(join, LINKS))
-    return nodes.join(joined, "node").select("node", "set_id", "n", F.col("root").alias("cluster"))
+    return nodes.join(joined, "node").select("node", "set_id", "n", "step", F.col("root").alias("cluster"))
 
 
 class SignatureTree:
@@ -463,8 +464,11 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
         if left > (1 - WORTH) * before:
             break  # another round would find as little
     grouped = materialize(clusters(nodes, code_parts), "jaccard_clusters")
-    sizes = grouped.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight"))
-    sizes = sizes.where("sets > 1").withColumn(
+    sizes = grouped.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight"), F.min("step").alias("step")
+    )
+    # sets that all come from the band below stand together there
+    sizes = sizes.where("sets > 1 and step = 0").drop("step").withColumn(
         "blocks", F.ceil(F.greatest(F.col("weight") / BLOCK_SHINGLES, F.col("sets") / BLOCK_SETS))
     )
     member = grouped.join(sizes, "cluster")
