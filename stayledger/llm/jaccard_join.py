@@ -16,7 +16,8 @@
    block, so that copies connect across blocks; sets that are not in their cluster's main
    component then go to the other blocks whose sets share a token with them, in portions of
    bounded size beside that block's sets. Nothing is dropped, and no task sees more than a block
-   and a portion; how often a set travels grows with the blocks that share its lowest tokens.
+   and a portion. First only announced tokens travel there, and whole sets follow where a probe
+   shares enough of them with the block, or a set of the block with the portion's probes.
 
 Defined cases: null, empty and word-less texts have an empty set, link with nothing and are
 their own component; fewer than five words are one shingle; rows with equal ids are compared
@@ -376,6 +377,29 @@ def _block_links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+PLACED = "set_id long, cluster long, block long, portion long, probe boolean, label long"
+
+
+def _sieve(table: pa.Table) -> pa.Table:
+    """Of a portion of probes and the sets of a block, those that can have a link across.
+
+    From set_id, need, probe, label and codes, the announced tokens that others of the band share."""
+    probe = np.array(table.column("probe").to_pylist(), bool)
+    need = table.column("need").to_numpy()
+    codes = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("codes").combine_chunks()]
+    row = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    flat = np.concatenate([np.zeros(0, np.uint64), *codes])
+    stays = np.ones(len(codes), bool)
+    # probes among the block's sets first, then those sets among the probes that stay
+    for side in (probe, ~probe):
+        others = np.unique(flat[(stays & ~side)[row]])
+        shared = np.bincount(row, weights=np.isin(flat, others), minlength=len(codes))
+        stays &= ~side | (shared >= need)
+    if not (stays & probe).any() or not (stays & ~probe).any():
+        stays[:] = False
+    return table.filter(pa.array(stays)).select(PLACED.replace(" long", "").replace(" boolean", "").split(", "))
+
+
 def _compare(placed: DataFrame, tokens: DataFrame) -> DataFrame:
     """Links from placements (set_id, cluster, block, portion, probe, label) and the sets' tokens."""
     where = ("cluster", "block", "portion")
@@ -441,7 +465,7 @@ def _elsewhere(labelled: DataFrame, nodes: DataFrame, code_parts: int) -> DataFr
     blocks = labelled.select("cluster", "block", spot.alias("spot")).distinct()
     own = labelled.select("node", "set_id", "n", "label", F.col("block").alias("own"))
     return (
-        met.join(own, "node").join(blocks, "spot").where("block <> own").select("set_id", "n", "cluster", "block", "label")
+        met.join(own, "node").join(blocks, "spot").where("block <> own").select("node", "set_id", "n", "cluster", "block", "label")
     )
 
 
@@ -510,13 +534,16 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     loads = loads.select("cluster", "block", portions.alias("portions"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1)).alias("portion")
     residents = labelled.join(loads, ["cluster", "block"]).select(
-        "set_id", "cluster", "block", each, F.lit(False).alias("probe"), "label"
+        "node", "set_id", "cluster", "block", each, F.lit(False).alias("probe"), "label"
     )
     portion = F.pmod(F.xxhash64("set_id", F.lit(2)), F.col("portions")).alias("portion")
     asked = probes.join(loads, ["cluster", "block"]).select(
-        "set_id", "cluster", "block", portion, F.lit(True).alias("probe"), "label"
+        "node", "set_id", "cluster", "block", portion, F.lit(True).alias("probe"), "label"
     )
-    more = _compare(residents.union(asked), tokens)
+    # shared tokens are counted before whole sets travel
+    meeting = residents.union(asked).join(nodes.select("node", "need", "codes"), "node").drop("node")
+    meeting = meeting.groupBy("cluster", "block", "portion").applyInArrow(_sieve, PLACED)
+    more = _compare(materialize(meeting, "jaccard_meeting"), tokens)
     return components(links.union(more))
 
 
