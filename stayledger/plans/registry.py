@@ -58,6 +58,21 @@ SELECTION = {
     "hotel": ["F"],
 }
 
+#: Queries with one dashboard filter each: chart and selection.
+ONE_FILTER = {
+    "chart_filtered_days": ("chart_daily_bookings", {"date_range": (date(1997, 3, 1), date(1999, 6, 30))}),
+    "chart_filtered_channels": (
+        "chart_cancellation_breakdown",
+        {"distribution_channel": ["1-URGENT", "3-MEDIUM"]},
+    ),
+    "chart_filtered_countries": (
+        "chart_countries_by_revenue",
+        {"country": ["NATION_1", "NATION_4", "Unknown"]},
+    ),
+    "chart_filtered_rooms": ("chart_cancellation_by_room", {"room_type": ["PROMO", "SMALL"]}),
+    "chart_filtered_customer_types": ("chart_customer_types", {"customer_type": ["F", "O"]}),
+}
+
 
 def portable(df: DataFrame) -> DataFrame:
     """Results in types every SQL engine prints alike: decimals as DOUBLE, dates
@@ -149,10 +164,10 @@ def _chart(name: str) -> Query:
     return lambda spark, folder: chart_query(_mart(chart.mart)(spark, folder), chart)
 
 
-def _filtered_chart(name: str) -> Query:
+def _filtered_chart(name: str, selection: dict = SELECTION) -> Query:
     chart = CHARTS[name]
     return lambda spark, folder: chart_query(
-        apply_filters(_mart(chart.mart)(spark, folder), SELECTION), chart
+        apply_filters(_mart(chart.mart)(spark, folder), selection), chart
     )
 
 
@@ -510,6 +525,7 @@ def all_queries() -> dict[str, Query]:
         "chart_stay_lengths": stay_lengths,
         "chart_filtered": _filtered_chart("chart_cancellation_breakdown"),
         "chart_filtered_months": _filtered_chart("chart_monthly_estimated_revenue"),
+        **{name: _filtered_chart(*chosen) for name, chosen in ONE_FILTER.items()},
     }
     return {name: _portable_query(query) for name, query in queries.items()}
 
