@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests_llm_helpers import odd_rows, words_of
@@ -203,3 +204,39 @@ def test_near_copies_without_ids_are_joined_once(spark):
     tokens = jaccard_join.tokens_of(rows, wanted)
     assert tokens.select("set_id").distinct().count() == 301 and tokens.count() <= 301 + 8
     assert {r["component"] for r in jaccard_join.linked_documents(docs).collect()} == {jaccard_join.NO_ID}
+
+
+def test_links_across_bands(spark, make_docs):
+    """Pairs of one band and of two neighbouring bands, each alone in its cluster."""
+    rng, rows = random.Random(8), []
+    for k, size in enumerate([40, 50, 56, 60, 70, 75, 87, 95, 109, 120, 136, 150]):
+        words = [f"b{rng.randrange(10**9)}" for _ in range(size + 4)]
+        for step, cut in enumerate((0, size // 20, size // 6, size // 4)):
+            rows.append((10 * k + step, " ".join(words[: len(words) - cut])))
+    got = jaccard_join.components_digest(make_docs(rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    bands = [jaccard_join.band_of(np.array([len(shingles(t))]))[0] for _, t in rows]
+    pairs = list(zip(bands[::4], bands[1::4]))
+    assert any(a == b for a, b in pairs) and any(a != b for a, b in pairs)
+
+
+def test_sieve_keeps_what_can_link():
+    """Probes against the block's sets, and those against the probes that stay."""
+    codes = [range(10), range(20, 30), range(6, 16), range(0, 8), range(40, 50)]
+    table = pa.table(
+        {
+            "set_id": [1, 2, 3, 4, 5],
+            "cluster": [0] * 5,
+            "block": [0] * 5,
+            "portion": [0] * 5,
+            "probe": [True, True, False, False, False],
+            "label": [1, 2, 3, 4, 5],
+            "need": [4, 4, 5, 8, 4],
+            "codes": pa.array([np.array(c, np.uint64).tobytes() for c in codes], pa.binary()),
+        }
+    )
+    # 2 shares nothing, 3 shares four tokens of the five that it needs, 5 shares nothing
+    assert jaccard_join._sieve(table).column("set_id").to_pylist() == [1, 4]
+    assert jaccard_join._sieve(table.slice(1)).num_rows == 0
+    assert jaccard_join._sieve(table.slice(0, 2)).num_rows == 0
+    assert jaccard_join._sieve(table.slice(0, 0)).num_rows == 0
