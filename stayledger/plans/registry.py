@@ -24,13 +24,12 @@ from stayledger.operators.profile import column_profile, price_spread, revenue_p
 from stayledger.operators.saved import SAVED, reconcile, refresh
 from stayledger.plans import refresh as refreshing
 from stayledger.plans.refresh import open_refreshed
-from stayledger.plans.star import star_current, star_staged_current
+from stayledger.plans.star import star_current, star_rows_by_booking, star_staged_current
 from stayledger.plans.warehouse import (
     build_from_rows,
     build_warehouse,
     current_bookings,
     fact_of,
-    rows_by_booking,
     serving_relations,
 )
 from stayledger.schema import SOURCE_COLUMNS
@@ -205,7 +204,7 @@ def _saved(name: str) -> Query:
 
 def reconcile_saved(spark: SparkSession, folder: str) -> DataFrame:
     """Saved against recomputed, and against marts that miss the newest batch."""
-    rows = rows_by_booking(star_history(spark, folder))
+    rows = star_rows_by_booking(spark, folder)
     relations = build_from_rows(rows)
     older_rows = rows.where(F.col("batch_sequence") < 3)  # still by booking, so nothing wide is shuffled again
     older = serving_relations(booking_metrics(current_state(dedupe_exact(older_rows))))
@@ -231,7 +230,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _built(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return build_warehouse(star_history(spark, folder))
+    return build_from_rows(star_rows_by_booking(spark, folder))
 
 
 def known_current(spark: SparkSession, folder: str) -> dict[str, str]:

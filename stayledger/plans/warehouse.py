@@ -50,14 +50,16 @@ def plan_warehouse(history: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def rows_by_booking(history: DataFrame, buckets: int | None = None) -> DataFrame:
+def rows_by_booking(history: DataFrame, buckets: int | None = None, dealt: bool = False) -> DataFrame:
     """The staged rows with their source texts, stored by booking in ``buckets`` (by default the
     session's shuffle partitions): what groups or joins by booking needs no further shuffle.
 
-    All rows of a booking stand in one bucket."""
+    All rows of a booking stand in one bucket. Rows that are ``dealt`` lie by booking in as many
+    partitions already and are written as they stand."""
     spark = history.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return store_bucketed("staged_rows", stage(history).repartition(buckets, KEY), buckets)
+    staged = stage(history)
+    return store_bucketed("staged_rows", staged if dealt else staged.repartition(buckets, KEY), buckets)
 
 
 def store_bucketed(name: str, by_booking: DataFrame, buckets: int) -> DataFrame:

@@ -9,7 +9,10 @@ import pytest
 from rows import history_frame, history_row
 from stayledger.operators.incremental import state_of
 from stayledger.plans import refresh, registry
+from stayledger.plans.star import star_rows_by_booking
+from stayledger.plans.warehouse import rows_by_booking
 from stayledger.session import new_path
+from stayledger.sources.star import star_history
 from stayledger.sources.versions import Versions
 
 FOLDER = "/root/testdata/sf0.001"
@@ -44,6 +47,17 @@ def test_a_merge_of_dealt_deliveries_shuffles_lines_only(spark, written):
         assert name == "competing" or parts is written[0][1] or not any(parts)
 
 
+@has_tables
+def test_stored_rows_of_dealt_lines_are_those_of_the_history(spark, written):
+    ours = star_rows_by_booking(spark, FOLDER)
+    by_booking = [e for e in written[0][1][0] if "booking_key" in e]
+    # the joined lines are dealt, not the staged rows with their texts
+    assert len(by_booking) == 1 and len(written[0][1][0]) == 9
+    theirs = rows_by_booking(star_history(spark, FOLDER))
+    assert ours.schema == theirs.schema
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+
+
 def test_merging_dealt_rows_is_merging(spark, written):
     """Also without keys, with late rows, and when the rows were not dealt after all."""
     old = [history_row(key=k, row=r, batch=f"b{s}", sequence=s, adr=f"{a}.00") for k, r, s, a in [("d:1", 1, 2, 5), ("d:2", 2, 1, 6), ("d:3", 3, 1, 7), (None, 4, 1, 8)]]
