@@ -30,6 +30,9 @@ starting with ``_j_`` are refused).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial, reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +43,7 @@ from stayledger.llm.components import LINKS, components, forest
 from stayledger.llm.exchange import (
     CODES,
     CODES_ARROW,
+    FLUSH_CODES,
     NO_ID,
     announced,
     by_code,
@@ -50,7 +54,7 @@ from stayledger.llm.exchange import (
     shared_codes,
 )
 from stayledger.llm.units import Rolling, byte_table, chunks, mix, pack, word_hashes, words
-from stayledger.session import broadcast_if_small, materialize
+from stayledger.session import broadcast_if_small, materialize, stored
 
 SHINGLE = 5
 PER_CENT = 80
@@ -146,23 +150,42 @@ def _gather(table: pa.Table) -> pa.Table:
     )
 
 
+#: Announced codes lie on disk until they are answered; their partitions take turns, so only a part does at a time.
+TURNS = 2
+
+
+def _in_turns(source: DataFrame, announce, code_parts: int, text_parts: int, narrow: int) -> DataFrame:
+    """The answers of ``shared_codes`` to what ``announce`` takes from the batches of ``source``, stored by turn."""
+
+    def told(turn: int):
+        def run(batches):
+            def pairs():
+                for names, codes in announce(batches):
+                    now = codes % np.uint64(code_parts) % np.uint64(TURNS) == turn
+                    yield names[now], codes[now]
+
+            return announced(pairs(), code_parts, bool(narrow), False)
+
+        return run
+
+    turns = [shared_codes(source.mapInArrow(told(k), CODES), text_parts, narrow, False) for k in range(TURNS)]
+    return reduce(DataFrame.union, [materialize(answers, "jaccard_answers") for answers in turns])
+
+
 def shared_tokens(rows: DataFrame, code_parts: int, text_parts: int, make=shingle_sets) -> DataFrame:
     """(set_id, shared, codes): of each set, the announced tokens that other sets announce too."""
     shift = code_shift(code_parts)
 
     def announce(batches):
-        def pairs():
-            for batch in batches:
-                for _, data, offsets in chunks(batch.column("text")):
-                    sets = [s for s in make(data, offsets) if len(s)]
-                    parts = [_announced_part(s) for s in sets]
-                    if parts:
-                        names = np.array([_set_id(s) for s in sets], np.int64)
-                        yield np.repeat(names, [len(p) for p in parts]), np.concatenate(parts) >> shift
-
-        return announced(pairs(), code_parts, True, False)
-
-    answers = shared_codes(rows.mapInArrow(announce, CODES), text_parts, code_parts, False)
+        for batch in batches:
+            for _, data, offsets in chunks(batch.column("text")):
+                sets = [s for s in make(data, offsets) if len(s)]
+                parts = [_announced_part(s) for s in sets]
+                if parts:
+                    names = np.array([_set_id(s) for s in sets], np.int64)
+                    yield np.repeat(names, [len(p) for p in parts]), np.concatenate(parts) >> shift
+
+    answers = _in_turns(rows, announce, code_parts, text_parts, code_parts)
     return answers.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
 
 
@@ -224,23 +247,39 @@ def _spread(batches, all_codes: bool = True):
         yield batch.column("node").to_numpy()[row], codes
 
 
+def _portions(pairs):
+    """(nodes, codes) put together until they have ``FLUSH_CODES`` codes."""
+    nodes, codes, held = [], [], 0
+    for a, b in pairs:
+        nodes.append(a)
+        codes.append(b)
+        held += len(b)
+        if held >= FLUSH_CODES:
+            yield np.concatenate(nodes), np.concatenate(codes)
+            nodes, codes, held = [], [], 0
+    if held:
+        yield np.concatenate(nodes), np.concatenate(codes)
+
+
 def pruned(nodes: DataFrame, code_parts: int, text_parts: int) -> DataFrame:
     """Nodes that share enough tokens with the others of their band that are left, with those tokens."""
 
-    def announce(batches):
-        return announced(_spread(batches), code_parts, False, False)
 
-    shared = shared_codes(nodes.mapInArrow(announce, CODES), text_parts, 0, False)
-    kept = shared.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
-    kept = kept.withColumnRenamed("set_id", "node").join(nodes.drop("codes"), "node").where("shared >= need")
-    return materialize(kept.select("node", "set_id", "n", "last", "need", "step", "codes"), "jaccard_nodes")
+    def survivors() -> DataFrame:
+        shared = _in_turns(nodes, _spread, code_parts, text_parts, 0)
+        kept = shared.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
+        kept = kept.withColumnRenamed("set_id", "node").join(nodes.drop("codes"), "node").where("shared >= need")
+        return kept.select("node", "set_id", "n", "last", "need", "step", "codes")
+
+    return stored(nodes.sparkSession, "jaccard_nodes", survivors)
 
 
 def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
     """(node, set_id, n, step, cluster): nodes that may be linked with others."""
 
     def announce(batches):
-        for near, codes in _spread(batches, all_codes=False):
+        # as many nodes at once as the batches are small: what a task settles itself does not depend on them
+        for near, codes in _portions(_spread(batches, all_codes=False)):
             own, codes, least, _ = by_code(near, codes)
             ask = own == least
             a, root = forest(own[~ask], least[~ask])
@@ -400,34 +439,51 @@ def _sieve(table: pa.Table) -> pa.Table:
     return table.filter(pa.array(stays)).select(PLACED.replace(" long", "").replace(" boolean", "").split(", "))
 
 
-def _compare(placed: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links from placements (set_id, cluster, block, portion, probe, label) and the sets' tokens."""
+PLACE = ("cluster", "block", "portion", "probe", "label")
+
+
+def _compare(placed: DataFrame, tokens: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links from placements (set_id, cluster, block, portion, probe, label); ``tokens`` adds the sets' tokens."""
     where = ("cluster", "block", "portion")
-    full = placed.join(tokens, "set_id").select(*where, "set_id", "probe", "label", "tokens")
-    return materialize(full.groupBy(*where).applyInArrow(_block_links, LINKS), "jaccard_links")
+    return materialize(tokens(placed).groupBy(*where).applyInArrow(_block_links, LINKS), "jaccard_links")
+
+
+def placed_tokens(placed: DataFrame, rows: DataFrame, at: DataFrame, make=shingle_sets) -> DataFrame:
+    """Placements with the tokens of their sets, which go from the texts to all their places at once.
+
+    ``at`` (set_id, doc, key): a row that has the set."""
+    places = placed.groupBy("set_id").agg(F.collect_list(F.struct(*PLACE)).alias("places"))
+    wanted = materialize(places.join(at, "set_id").select("doc", "key", "set_id", "places"), "jaccard_wanted")
+    size = wanted.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
+    # while the wanted ids are few, texts need not be shuffled to find them
+    found = tokens_of(rows, broadcast_if_small(wanted, size, row_bytes=64), make)
+    full = found.select("set_id", F.explode("places").alias("place"), "tokens")
+    return full.select(*[F.col(f"place.{c}") for c in PLACE], "set_id", "tokens")
 
 
 def tokens_of(rows: DataFrame, wanted: DataFrame, make=shingle_sets) -> DataFrame:
-    """(set_id, tokens) of wanted (doc, key, set_id), stored.
+    """(set_id, tokens) of wanted (doc, key, set_id), with what other columns these have.
 
     A set is looked for in rows of one id and one text. Where such a row is repeated, each task
     gives its set once."""
+    carried = [c for c in wanted.columns if c not in ("doc", "key")]
 
     def run(batches):
         seen = set()
         for batch in batches:
             want = batch.column("set_id").to_numpy()
-            names, tokens = [], []
+            at, tokens = [], []
             for first, data, offsets in chunks(batch.column("text")):
                 for k, own in enumerate(make(data, offsets)):
                     if int(want[first + k]) not in seen and _set_id(own) == want[first + k]:
                         seen.add(int(want[first + k]))
-                        names.append(want[first + k])
+                        at.append(first + k)
                         tokens.append(pack(own))
-            yield pa.record_batch([pa.array(names, pa.int64()), pa.array(tokens, pa.binary())], names=["set_id", "tokens"])
+            kept = [batch.column(c).take(pa.array(at, pa.int64())) for c in carried]
+            yield pa.record_batch([*kept, pa.array(tokens, pa.binary())], names=[*carried, "tokens"])
 
-    found = rows.join(wanted, ["doc", "key"]).select("set_id", "text").mapInArrow(run, "set_id long, tokens binary")
-    return materialize(found, "jaccard_tokens")
+    source = rows.join(wanted, ["doc", "key"]).select(*carried, "text")
+    return source.mapInArrow(run, source.select(*carried).schema.add("tokens", "binary"))
 
 
 def _elsewhere(labelled: DataFrame, nodes: DataFrame, code_parts: int) -> DataFrame:
@@ -479,8 +535,12 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
     # a partner has four fifths of the tokens at least; a few may share their first bits
     spare = F.floor(F.col("n") / 1000) + 1
     need = F.greatest(F.floor(F.floor(F.col("n") * SURPLUS / 100) * PER_CENT / 100) - spare, F.lit(1))
-    alive = shared_tokens(rows, code_parts, text_parts, make).join(first.withColumn("need", need), "set_id")
-    alive = materialize(alive.where("shared >= need"), "jaccard_alive")
+
+    def survivors() -> DataFrame:
+        shared = shared_tokens(rows, code_parts, text_parts, make).join(first.withColumn("need", need), "set_id")
+        return shared.where("shared >= need")
+
+    alive = stored(rows.sparkSession, "jaccard_alive", survivors)
     nodes, left = banded(alive, code_parts), 2 * alive.count()
     for _ in range(ROUNDS):
         nodes, before = pruned(nodes, code_parts, text_parts), left
@@ -508,11 +568,7 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
         F.lit(False).alias("probe"),
         F.col("set_id").alias("label"),
     )
-    wanted = materialize(
-        placed.select("set_id").distinct().join(alive.select("set_id", "doc", "key"), "set_id"), "jaccard_wanted"
-    )
-    # while the wanted ids are few, texts need not be shuffled to find them
-    tokens = tokens_of(rows, broadcast_if_small(wanted, wanted.count(), row_bytes=64), make)
+    tokens = partial(placed_tokens, rows=rows, at=alive.select("set_id", "doc", "key"), make=make)
     links = _compare(everywhere, tokens)
     roots = materialize(components(links), "jaccard_roots")
     split = placed.where("blocks > 1")
@@ -562,14 +618,18 @@ def linked_documents(docs: DataFrame, id_col="doc_id", text_col="text", make=shi
 
 def _with_components(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFrame:
     """``sets`` with the root of the sets that links lead to and the least id among their rows."""
-    roots = linked_sets(rows, sets, make)
-    named = sets.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("least"))
-    named = named.join(roots, named["set_id"] == roots["node"], "left").select(
-        "set_id", "least", F.coalesce("root", "set_id").alias("root")
-    )
-    whole = named.groupBy("root").agg(F.min("least").alias("component"))
-    # equal sets and large components are hot keys here: narrow rows, which Spark splits
-    found = materialize(named.join(whole, "root").select("set_id", "root", "component"), "jaccard_components")
+
+    def find() -> DataFrame:
+        roots = linked_sets(rows, sets, make)
+        named = sets.where("n > 0").groupBy("set_id").agg(F.min("doc").alias("least"))
+        named = named.join(roots, named["set_id"] == roots["node"], "left").select(
+            "set_id", "least", F.coalesce("root", "set_id").alias("root")
+        )
+        whole = named.groupBy("root").agg(F.min("least").alias("component"))
+        # equal sets and large components are hot keys here: narrow rows, which Spark splits
+        return named.join(whole, "root").select("set_id", "root", "component")
+
+    found = stored(sets.sparkSession, "jaccard_components", find)
     names = sets.drop("last", "key").columns
     full = sets.where("n > 0").join(found, "set_id").select(*names, "root", "component")
     alone = sets.where("n = 0").select(*names, F.col("set_id").alias("root"), F.col("doc").alias("component"))
@@ -587,7 +647,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if bad := [c for c in docs.columns if c.lower().startswith("_j_")]:
         raise ValueError(f"reserved column names: {bad}")
     rows = with_key(rows_by_document(docs, more=[_row_key(docs).alias("row")]))
-    found = materialize(_with_components(rows.drop("row"), sets_of(rows)), "jaccard_documents")
+    found = stored(docs.sparkSession, "jaccard_documents", lambda: _with_components(rows.drop("row"), sets_of(rows)))
     keys = [F.col("doc").alias("_j_doc"), F.col("row").alias("_j_row")]
     # several rows with the least id of their group: the one with the least key stays
     least = found.where("n > 0 and doc = component")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,13 +78,13 @@ def work_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-#: The folder that a running job's intermediate tables share, see ``scratch``.
-_job_folder: list[str] = []
+#: The folder that a running job's intermediate tables share, see ``scratch``; each thread has its own.
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the working folder that no other run uses."""
-    folder = _job_folder[-1] if _job_folder else work_folder(spark)
+    folder = _job_folder.get() or work_folder(spark)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
@@ -89,13 +92,15 @@ def new_path(spark: SparkSession, name: str) -> str:
 def scratch(spark: SparkSession):
     """Intermediate tables made inside stand in one folder, which is removed at the end.
 
-    For a job that keeps its results elsewhere; one job at a time in a process.
+    For a job that keeps its results elsewhere. Jobs may stand in others.
     """
-    _job_folder.append(new_path(spark, "job"))
+    folder = new_path(spark, "job")
+    outer = _job_folder.set(folder)
     try:
-        yield _job_folder[-1]
+        yield folder
     finally:
-        remove_folder(spark, _job_folder.pop())
+        _job_folder.reset(outer)
+        remove_folder(spark, folder)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -104,6 +109,33 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Spark's own setting: a query's shuffle files go when it has ended, not when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_writes_lock = threading.Lock()
+_writes: dict[str, list] = {}  # by session: writes that run, and the setting before them
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Writes inside leave no shuffle files; several threads may write at once."""
+    key = spark._jsparkSession.sessionUUID()
+    with _writes_lock:
+        running = _writes.setdefault(key, [0, spark.conf.get(SHUFFLE_CLEANUP, None)])
+        running[0] += 1
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _writes_lock:
+            running[0] -= 1
+            if not running[0]:
+                _, before = _writes.pop(key)
+                if before is None:
+                    spark.conf.unset(SHUFFLE_CLEANUP)
+                else:
+                    spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the working folder and return a scan of it.
 
@@ -112,7 +144,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives, written once; the intermediate tables that it writes on the way are removed."""
+    path = new_path(spark, name)
+    with scratch(spark), _shuffles_removed(spark):
+        df = make()
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -128,7 +170,7 @@ def materialize_all(frames: dict[str, DataFrame], at_once: int = 4) -> dict[str,
     """Write independent results as tables, several jobs at a time so that the
     last tasks of one do not leave the cluster idle."""
     with ThreadPoolExecutor(at_once) as pool:
-        written = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
+        written = {name: pool.submit(copy_context().run, materialize, df, name) for name, df in frames.items()}
         return {name: table.result() for name, table in written.items()}
 
 
