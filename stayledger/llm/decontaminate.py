@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stayledger.llm.common import PARTS, blocks_of, summed_blocks
 from stayledger.llm.units import binary_parts, byte_table, chunks, pack, word_hashes, words
-from stayledger.session import broadcast_if_small, materialize
+from stayledger.session import broadcast_if_small, materialize, stored
 
 BLOCK_BYTES = 8 << 20
 PORTION_BYTES = 1 << 18
@@ -369,7 +369,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
         raise ValueError(f"reserved column names: {bad}")
     key = F.xxhash64("text", "doc_id").alias("_dc_row")
     rows = docs.select(key, F.col("text").cast("binary").alias("_dc_text"))
-    bad_rows = materialize(find_items(rows, bench).select("_dc_row").distinct(), "latent_rows")
+    bad_rows = stored(docs.sparkSession, "latent_rows", lambda: find_items(rows, bench).select("_dc_row").distinct())
     keyed = docs.withColumn("_dc_row", F.xxhash64("text", "doc_id"))
     bad_rows = broadcast_if_small(bad_rows, bad_rows.count(), row_bytes=32)
     return keyed.join(bad_rows, "_dc_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayledger.llm.units import byte_table, chunks, pack, random_words, space_table, word_hashes
-from stayledger.session import materialize
+from stayledger.session import materialize, scratch
 
 BUCKETS = 1 << 15
 DIMENSIONS = 32
@@ -166,8 +166,8 @@ def pool(data: np.ndarray, offsets: np.ndarray, vectors: np.ndarray) -> np.ndarr
     return out
 
 
-def pooled(docs: DataFrame, keep: list[str], vectors: np.ndarray) -> DataFrame:
-    """The columns in ``keep`` with the pooled vector, stored."""
+def _pooled(docs: DataFrame, keep: list[str], vectors: np.ndarray) -> DataFrame:
+    """The columns in ``keep`` with the pooled vector."""
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches):
@@ -182,9 +182,12 @@ def pooled(docs: DataFrame, keep: list[str], vectors: np.ndarray) -> DataFrame:
         *[F.col(f"`{c}`") for c in keep], F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("_q_text")
     )
     fields = [f for f in source.schema if f.name != "_q_text"]
-    return materialize(
-        source.mapInArrow(run, T.StructType([*fields, T.StructField("_q_vector", T.BinaryType())])), "quality_pooled"
-    )
+    return source.mapInArrow(run, T.StructType([*fields, T.StructField("_q_vector", T.BinaryType())]))
+
+
+def pooled(docs: DataFrame, keep: list[str], vectors: np.ndarray) -> DataFrame:
+    """The columns in ``keep`` with the pooled vector, stored."""
+    return materialize(_pooled(docs, keep, vectors), "quality_pooled")
 
 
 class Network:
@@ -276,12 +279,20 @@ def fit(pooled_docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"):
     return Network(np.stack([np.frombuffer(r["_q_vector"], np.float32) for r in rows]).astype(float), y)
 
 
-def scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns in ``keep`` with ``_q_score``; needs doc_id and text."""
+def _check_names(docs: DataFrame) -> None:
     if bad := [c for c in docs.columns if c.lower().startswith("_q_")]:
         raise ValueError(f"reserved column names: {bad}")
+
+
+def scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns in ``keep`` with ``_q_score``; needs doc_id and text."""
+    _check_names(docs)
     stored = pooled(docs, keep, word_vectors(docs))
-    model = fit(stored, labels)
+    return _with_scores(stored, fit(stored, labels))
+
+
+def _with_scores(pooled_docs: DataFrame, model) -> DataFrame:
+    """``_q_score`` in the vector's place."""
 
     @F.pandas_udf("double")
     def score(vectors):
@@ -289,12 +300,19 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
 
         return pd.Series(model.score(np.stack([np.frombuffer(v, np.float32) for v in vectors]).astype(float)))
 
-    return stored.withColumn("_q_score", score("_q_vector")).drop("_q_vector")
+    return pooled_docs.withColumn("_q_score", score("_q_vector")).drop("_q_vector")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not rejected."""
-    found = scored(docs, labels, docs.columns)
+    """The documents that are not rejected.
+
+    Only ids and vectors are stored to learn from, for as long as it takes; whole documents pass once more and
+    are scored on their way."""
+    _check_names(docs)
+    vectors = word_vectors(docs)
+    with scratch(docs.sparkSession):
+        model = fit(pooled(docs, ["doc_id"], vectors), labels)
+    found = _with_scores(_pooled(docs, docs.columns, vectors), model)
     return found.where(F.col("_q_score") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
