@@ -20,6 +20,8 @@ columns pass through ``drop_contaminated`` (names starting with ``_dc_`` are ref
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -345,7 +347,7 @@ def item_blocks(bench: DataFrame, limit: int = BLOCK_BYTES):
 
 def find_items(rows: DataFrame, bench: DataFrame) -> DataFrame:
     """Found items by ``_dc_row``; rows have ``_dc_row`` and ``_dc_text`` (bytes)."""
-    found = rows.sparkSession.createDataFrame([], FOUND)
+    found = []
     for items in item_blocks(bench):
         if items.words:
             stored = coded(rows, items)
@@ -353,8 +355,8 @@ def find_items(rows: DataFrame, bench: DataFrame) -> DataFrame:
             if not len(counts) or not counts[0]:
                 continue
             weight = weights(counts, items)
-            found = found.union(search(stored, items, weight, latent_basis(stored, items, weight)))
-    return materialize(found, "latent_found")
+            found.append(search(stored, items, weight, latent_basis(stored, items, weight)))
+    return materialize(reduce(DataFrame.union, found or [rows.sparkSession.createDataFrame([], FOUND)]), "latent_found")
 
 
 def leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:

@@ -48,6 +48,7 @@ from stayledger.llm.exchange import (
     announced,
     by_code,
     dealt,
+    next_prime,
     opened,
     partition_counts,
     rows_by_document,
@@ -210,13 +211,15 @@ def band_shift(code_parts: int) -> np.uint64:
 
 
 NODES = "node long, set_id long, n long, last long, need long, step long, codes binary"
+#: No code: codes and the bands above them leave the highest value free.
+NO_CODE = np.uint64((1 << 64) - 1)
 ROUNDS = 2
 #: A round of pruning is followed by another if it removed this share of the nodes.
 WORTH = 0.1
 
 
-def banded(alive: DataFrame, code_parts: int) -> DataFrame:
-    """Each set in its size band and the next: two linked sets stand in one band together."""
+def _in_bands(code_parts: int):
+    """See ``banded``."""
     shift, high = code_shift(code_parts), band_shift(code_parts)
 
     def run(batches):
@@ -232,7 +235,12 @@ def banded(alive: DataFrame, code_parts: int) -> DataFrame:
                 packed = pa.array([pack(c | a) for c, a in zip(codes, above)], pa.binary())
                 yield pa.record_batch([*[pa.array(c, pa.int64()) for c in columns], packed], names=NODES.replace(" long", "").replace(" binary", "").split(", "))
 
-    return alive.mapInArrow(run, NODES)
+    return run
+
+
+def banded(alive: DataFrame, code_parts: int) -> DataFrame:
+    """Each set in its size band and the next: two linked sets stand in one band together."""
+    return alive.mapInArrow(_in_bands(code_parts), NODES)
 
 
 def _spread(batches, all_codes: bool = True):
@@ -261,12 +269,18 @@ def _portions(pairs):
         yield np.concatenate(nodes), np.concatenate(codes)
 
 
-def pruned(nodes: DataFrame, code_parts: int, text_parts: int) -> DataFrame:
-    """Nodes that share enough tokens with the others of their band that are left, with those tokens."""
+def pruned(nodes: DataFrame, code_parts: int, text_parts: int, alive: DataFrame | None = None) -> DataFrame:
+    """Nodes that share enough tokens with the others of their band that are left, with those tokens.
+
+    ``alive``: what ``nodes`` are the bands of; they are then made where they are announced, in one pass."""
+
+    source, place = (nodes, iter) if alive is None else (alive, _in_bands(code_parts))
 
+    def announce(batches):
+        return _spread(place(batches))
 
     def survivors() -> DataFrame:
-        shared = _in_turns(nodes, _spread, code_parts, text_parts, 0)
+        shared = _in_turns(source, announce, code_parts, text_parts, 0)
         kept = shared.groupBy("part").applyInArrow(_gather, "set_id long, shared long, codes binary")
         kept = kept.withColumnRenamed("set_id", "node").join(nodes.drop("codes"), "node").where("shared >= need")
         return kept.select("node", "set_id", "n", "last", "need", "step", "codes")
@@ -274,18 +288,37 @@ def pruned(nodes: DataFrame, code_parts: int, text_parts: int) -> DataFrame:
     return stored(nodes.sparkSession, "jaccard_nodes", survivors)
 
 
-def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
-    """(node, set_id, n, step, cluster): nodes that may be linked with others."""
+def _least_codes(batch) -> np.ndarray:
+    """The least code of each node; ``NO_CODE`` where it has none of the lowest fifth."""
+    values = [np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column("codes")]
+    least = np.array([v[0] if len(v) else NO_CODE for v in values], np.uint64)
+    return np.where(least <= batch.column("last").to_numpy().astype(np.uint64), least, NO_CODE)
+
+
+def clusters(nodes: DataFrame) -> DataFrame:
+    """(node, set_id, n, step, cluster): nodes that may be linked with others.
+
+    A node goes by its least code: nodes that have the same one are linked already, so of a group of
+    near copies a few names travel, and only codes that join two names make a link."""
+    # as many names and codes in a partition as texts give to theirs, and not fewer where texts have little in common
+    codes = nodes.agg(F.sum(F.octet_length("codes"))).first()[0] or 0
+    parts = next_prime(max(11, -(-codes // 8 // FLUSH_CODES)))
+
+    def named(batches):
+        for batch in batches:
+            least = dict(zip(batch.column("node").to_pylist(), _least_codes(batch).astype(np.int64).tolist()))
+            for near, codes in _spread([batch], all_codes=False):
+                yield np.array([least[x] for x in near.tolist()], np.int64), codes
 
     def announce(batches):
         # as many nodes at once as the batches are small: what a task settles itself does not depend on them
-        for near, codes in _portions(_spread(batches, all_codes=False)):
+        for near, codes in _portions(named(batches)):
             own, codes, least, _ = by_code(near, codes)
             ask = own == least
             a, root = forest(own[~ask], least[~ask])
-            yield dealt(a, root.astype(np.uint64), a % code_parts, settled=True)
+            yield dealt(a, root.astype(np.uint64), a % parts, settled=True)
             own, codes = own[ask], codes[ask]
-            yield dealt(own, codes, (codes % np.uint64(code_parts)).astype(np.int64))
+            yield dealt(own, codes, (codes % np.uint64(parts)).astype(np.int64))
 
     def join(table: pa.Table) -> pa.Table:
         own, _, least, _ = by_code(*opened(table))
@@ -293,8 +326,17 @@ def clusters(nodes: DataFrame, code_parts: int) -> DataFrame:
         a, b = forest(np.append(own, near), np.append(least, root.astype(np.int64)))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    joined = components(nodes.mapInArrow(announce, CODES).groupBy("part").applyInArrow(join, LINKS))
-    return nodes.join(joined, "node").select("node", "set_id", "n", "step", F.col("root").alias("cluster"))
+    def name(batches):
+        for batch in batches:
+            least = _least_codes(batch)
+            columns = [batch.column(c) for c in ("node", "set_id", "n", "step")]
+            made = pa.record_batch([*columns, pa.array(least.astype(np.int64))], names=["node", "set_id", "n", "step", "name"])
+            yield made.filter(pa.array(least != NO_CODE))
+
+    links = materialize(nodes.mapInArrow(announce, CODES).groupBy("part").applyInArrow(join, LINKS), "jaccard_names")
+    joined = components(links).select(F.col("node").alias("name"), "root")
+    own = nodes.select("node", "set_id", "n", "step", "last", "codes").mapInArrow(name, "node long, set_id long, n long, step long, name long")
+    return own.join(joined, "name", "left").select("node", "set_id", "n", "step", F.coalesce("root", "name").alias("cluster"))
 
 
 class SignatureTree:
@@ -542,12 +584,12 @@ def linked_sets(rows: DataFrame, sets: DataFrame, make=shingle_sets) -> DataFram
 
     alive = stored(rows.sparkSession, "jaccard_alive", survivors)
     nodes, left = banded(alive, code_parts), 2 * alive.count()
-    for _ in range(ROUNDS):
-        nodes, before = pruned(nodes, code_parts, text_parts), left
+    for turn in range(ROUNDS):
+        nodes, before = pruned(nodes, code_parts, text_parts, None if turn else alive), left
         left = nodes.count()
         if left > (1 - WORTH) * before:
             break  # another round would find as little
-    grouped = materialize(clusters(nodes, code_parts), "jaccard_clusters")
+    grouped = materialize(clusters(nodes), "jaccard_clusters")
     sizes = grouped.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("sets"), F.sum("n").alias("weight"), F.min("step").alias("step")
     )
