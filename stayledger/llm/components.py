@@ -17,6 +17,9 @@ from stayledger.session import materialize
 
 LINKS = "a long, b long"
 
+#: Links that a task writes at least, beyond one task a core: a round of few links makes few files.
+FILE_LINKS = 1 << 18
+
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, least node of its component) for nodes that are not the least themselves."""
@@ -70,12 +73,13 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node that has links; the root is the least id of its component."""
     now = materialize(links.select("a", "b").mapInArrow(_shrink, LINKS), "links")
-    seen = None
+    seen, rows = None, now.count()
     while True:
-        now = materialize(_star(_star(now, True), False), "links")
+        tasks = max(links.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_LINKS))
+        now = materialize(_star(_star(now, True), False).coalesce(tasks), "links")
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
-        seen = mark
+        seen, rows = mark, mark[0]
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

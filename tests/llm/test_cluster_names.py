@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from test_jaccard import brute, family
 
-from stayledger.llm import jaccard_join, quality
+from stayledger.llm import components, jaccard_join, quality
 
 
 def test_near_copies_make_few_links(spark, make_docs, monkeypatch):
@@ -16,11 +16,11 @@ def test_near_copies_make_few_links(spark, make_docs, monkeypatch):
     rng, rows = random.Random(21), []
     for k in range(20):
         rows += family(rng, 100 * k, 15, 200, 2)
-    counts, components = [], jaccard_join.components
+    counts, found = [], jaccard_join.components
 
     def spy(links):
         counts.append(links.count())
-        return components(links)
+        return found(links)
 
     monkeypatch.setattr(jaccard_join, "components", spy)
     got = jaccard_join.components_digest(make_docs(rows)).collect()
@@ -54,3 +54,25 @@ def test_context_sums_do_not_depend_on_portions(monkeypatch):
     monkeypatch.setattr(quality, "STREAM", 50)
     monkeypatch.setattr(quality, "TEXT_CHUNK", 100)
     assert sums() == whole and any(np.frombuffer(x, np.int64).any() for x in whole[0])
+
+
+def test_rounds_of_few_links_write_few_files(spark, monkeypatch):
+    files, stored = [], components.materialize
+
+    def spy(df, name):
+        out = stored(df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(components, "materialize", spy)
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = spark.createDataFrame([(k + 1, k) for k in range(500)], "a long, b long")
+        found = components.components(links).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert sorted(tuple(r) for r in found) == [(k, 0) for k in range(501)]
+    assert max(files) <= spark.sparkContext.defaultParallelism
