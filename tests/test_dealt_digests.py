@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from rows import history_frame, history_row
-from stayledger.operators.history import DIGESTS, dealt_by_booking, stage
+from stayledger.operators.history import DIGESTS, dealt_by_booking, dedupe_exact, dedupe_grouped, stage
 from stayledger.plans.warehouse import current_bookings, dealt_current, rows_by_booking
+from stayledger.sources import history as H
 
 
 def _plan(df) -> str:
@@ -49,3 +52,11 @@ def test_dealt_current_bookings_are_the_current_ones(spark):
     assert _plan(dealt_current(rows)).count("Exchange") == 1
     stored, wanted = rows_by_booking(rows, 4), stage(rows)
     assert stored.exceptAll(wanted).isEmpty() and wanted.exceptAll(stored).isEmpty()
+
+
+def test_grouped_dedup_keeps_the_same_rows_and_moves_what_is_used(spark):
+    rows = stage(_odd_history(spark))
+    rows = rows.unionByName(rows.withColumn("record_hash", F.lit("short"))).unionByName(rows.withColumn("record_hash", F.lit(None)))
+    _same(dedupe_grouped(rows), dedupe_exact(rows))
+    counted = _plan(H.batch_counts(dedupe_grouped(stage(_odd_history(spark)))))
+    assert "row_ingestion_id" not in counted[: counted.index("Scan")] and "unhex" in counted
