@@ -85,3 +85,13 @@ def test_loads_leave_the_history_only(spark, name):
         getattr(registry, {"ingest_current": "ingested_current"}.get(name, name))(spark, FOLDER)
         left = {p.name.split("-")[0] for p in Path(work).iterdir() if p.is_dir() and any(p.rglob("*.*"))}
     assert left == {"history"}
+
+
+@has_tables
+def test_content_validation_joins_the_tables_once(spark, monkeypatch):
+    joined = []
+    for name in ("star_lines", "star_history"):
+        made = getattr(registry, name)
+        monkeypatch.setattr(registry, name, lambda *a, made=made: joined.append(1) or made(*a))
+    found = registry.validated_content(spark, FOLDER).collect()
+    assert len(joined) == 1 and len(found) == 3 and all(r.matches and r.expected_digest for r in found)
